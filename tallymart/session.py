@@ -15,8 +15,8 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
 }
-# Without call-site capture, building a column costs one round trip to the JVM instead of several.
-RUNTIME_CONF = {**ADAPTIVE_CONF, "spark.python.sql.dataFrameDebugging.enabled": "false"}
+# Static: without call-site capture, building a column costs one round trip to the JVM, not several.
+STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -25,7 +25,7 @@ def tune(spark: SparkSession) -> SparkSession:
     Only runtime SQL settings are touched. Shuffle parallelism, memory and the session time zone
     stay with whoever created the session; no operator here depends on the session time zone.
     """
-    for key, value in RUNTIME_CONF.items():
+    for key, value in ADAPTIVE_CONF.items():
         spark.conf.set(key, value)
     return spark
 
@@ -40,7 +40,7 @@ def local_session(cpus: int | str = "*", app: str = "tallymart", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
         .config("spark.driver.memory", "8g")
     )
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**ADAPTIVE_CONF, **STATIC_CONF, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
