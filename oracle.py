@@ -352,6 +352,33 @@ def _business() -> dict[str, str]:
         "monthly_by_year": with_ctes(
             monthly.format(where="WHERE day >= DATE '1997-01-01' AND day < DATE '1998-01-01'"),
             "daily"),
+        "dashboard_payload": with_ctes(f"""
+            SELECT section, CAST(row_number() OVER (PARTITION BY section ORDER BY
+                   CASE WHEN section = 'monthly' THEN label END,
+                   CASE WHEN section = 'by_status' THEN orders ELSE net_revenue END DESC, label)
+                   AS INTEGER) AS position, label, net_revenue, orders
+            FROM (
+                SELECT 'kpis' AS section, CAST(last_day AS VARCHAR) AS label,
+                       {_cents('net', 'net_revenue')}, CAST(NULL AS BIGINT) AS orders
+                FROM {totals}
+                UNION ALL
+                SELECT 'monthly', strftime(day, '%Y-%m'), {_dollars('sum(net)', 'r')}, NULL
+                FROM daily GROUP BY 2
+                UNION ALL
+                (SELECT 'by_category', category, {_dollars('sum(net)', 'r')}, NULL
+                 FROM prod GROUP BY 2 ORDER BY r DESC, category LIMIT 12)
+                UNION ALL
+                SELECT 'by_department', department, {_dollars('sum(net)', 'r')}, NULL
+                FROM prod GROUP BY 2
+                UNION ALL
+                SELECT 'by_traffic', traffic_source, {_dollars('sum(net)', 'r')}, NULL
+                FROM cust GROUP BY 2
+                UNION ALL
+                (SELECT 'top_brands', brand, {_dollars('sum(net)', 'r')}, NULL
+                 FROM prod GROUP BY 2 ORDER BY r DESC, brand LIMIT 10)
+                UNION ALL
+                SELECT 'by_status', status, NULL, count(*) FROM o GROUP BY 2)
+            """, "daily", "prod", "cust", "o"),
         "dashboard_years": with_ctes(
             "SELECT DISTINCT CAST(year(day) AS INTEGER) AS year FROM o", "o"),
     }

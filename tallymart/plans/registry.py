@@ -31,7 +31,7 @@ from tallymart.quality.suites import (
     value_suites,
 )
 from tallymart.session import tune
-from tallymart.sources.exchange import export_parquet, write_csv_drop
+from tallymart.sources.exchange import export_parquet, write_csv_drop, write_json
 from tallymart.sources.landing import (
     append_load_report,
     load_health,
@@ -77,8 +77,14 @@ def rounded(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     ])
 
 
+def _tables(spark: SparkSession, directory: str) -> TestTables:
+    tables = TestTables(spark, directory)
+    tune(spark, largest=tables.read("lineitem"))
+    return tables
+
+
 def _layers(spark: SparkSession, directory: str) -> Layers:
-    return Layers(TestTables(tune(spark), directory))
+    return Layers(_tables(spark, directory))
 
 
 def _over_layers(build: Callable[[Layers], DataFrame]) -> Query:
@@ -95,7 +101,7 @@ def _as_built(build: Callable[[Layers], DataFrame]) -> Query:
 
 def _dropped(spark: SparkSession, directory: str, name: str, tables: Sequence[str]) -> str:
     """A CSV drop of some raw tables in the scratch folder."""
-    raw = TestTables(tune(spark), directory)
+    raw = _tables(spark, directory)
     target = scratch_dir(spark, f"{name}/drop")
     write_csv_drop({t: raw[t] for t in tables}, target)
     return target
@@ -174,7 +180,7 @@ def _mart_rows(marts: dict[str, DataFrame]) -> DataFrame:
 
 def offsets_to_utc(spark: SparkSession, directory: str) -> DataFrame:
     """Order times written with three different offsets, normalised to naive UTC."""
-    orders = TestTables(tune(spark), directory).read("orders")
+    orders = _tables(spark, directory).read("orders")
     offset = F.expr("elt(cast(1 + o_orderkey % 3 AS int), '+00:00', '-05:00', '+05:30')")
     text = F.concat(F.col("o_orderdate").cast("string"), offset)
     return orders.select("o_orderkey", to_utc(text).alias("utc_time"))
@@ -261,9 +267,27 @@ def role_view(role: str, subject: str) -> Query:
 
 
 def dashboard_payload(spark: SparkSession, directory: str) -> DataFrame:
+    """The dashboard document, written as JSON and read back with its main fields."""
     layers = _layers(spark, directory).with_written_orders("dashboard_payload")
-    return business.dashboard_payload(
-        layers.fct_orders, layers.fct_daily_kpis, layers.dim_products, layers.dim_customers
+    target = scratch_dir(spark, "dashboard_payload/json")
+    write_json(
+        business.dashboard_payload(
+            layers.fct_orders, layers.fct_daily_kpis, layers.dim_products, layers.dim_customers),
+        target,
+    )
+    fields = F.from_json("record", "month string, category string, department string, "
+                         "traffic_source string, brand string, status string, orders bigint, "
+                         "net_revenue double, date_max string")
+    labels = ("month", "category", "department", "traffic_source", "brand", "status", "date_max")
+    return (
+        spark.read.schema("section string, position int, record string").json(target)
+        .withColumn("fields", fields)
+        .select(
+            "section", "position",
+            F.coalesce(*[F.col(f"fields.{c}") for c in labels]).alias("label"),
+            dollars(F.col("fields.net_revenue"), 2).alias("net_revenue"),
+            "fields.orders",
+        )
     )
 
 

@@ -1,4 +1,4 @@
-"""Check types and the runner that evaluates a table's checks in one pass.
+"""Check types and the runner that evaluates the checks of a table together.
 
 Every check yields one row of :data:`REPORT_COLUMNS`. NULL handling follows the usual contract
 rules: only ``not_null`` objects to a NULL; a rule violated only when it is definitely false.
@@ -18,6 +18,9 @@ from tallymart.functions.money import ratio
 REPORT_COLUMNS = (
     "suite", "table_name", "check_name", "column_name", "success", "evaluated", "violations"
 )
+NOT_NULL = "not_null"
+# Marts that their plan already leaves grouped or joined by their key.
+KEYED_TABLES = ("fct_daily_kpis", "fct_revenue_recognition", "dim_customers")
 
 
 @dataclass(frozen=True)
@@ -49,7 +52,7 @@ class UniqueCheck:
 
 
 def not_null(column: str) -> RowCheck:
-    return RowCheck("not_null", column, lambda value: value.isNull(), nulls_count=True)
+    return RowCheck(NOT_NULL, column, lambda value: value.isNull(), nulls_count=True)
 
 
 def accepted_values(column: str, values: Sequence[str]) -> RowCheck:
@@ -81,72 +84,105 @@ Labelled = tuple[str, Check]
 
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check], suite: str) -> DataFrame:
     """Report rows for one suite's checks of a table, computed lazily."""
-    return run_labelled(df, table, [(suite, check) for check in checks])
+    labelled = [(suite, check) for check in checks]
+    return run_labelled(df, table, labelled, one_pass=table in KEYED_TABLES)
 
 
-def run_labelled(df: DataFrame, table: str, checks: Sequence[Labelled]) -> DataFrame:
-    """Report rows for the checks of several suites on one table, in one pass.
+def run_labelled(
+    df: DataFrame, table: str, checks: Sequence[Labelled], one_pass: bool = False
+) -> DataFrame:
+    """Report rows for the checks of several suites on one table.
 
-    Row checks add up in the same aggregation that counts the rows per value of the first unique
-    column: one scan and one shuffle of combined rows serve the whole table. Should the suites
-    name further unique columns, each costs one more grouping of that column alone.
+    All row checks add up in a single aggregation without a shuffle. Each unique column costs one
+    grouping of that column alone, which also answers whether it is ever NULL. With ``one_pass``
+    the row checks ride along in the first grouping instead: worth it where the table leaves its
+    plan already partitioned by that column, so that the grouping needs no shuffle and a second
+    pass would repeat the work upstream.
     """
-    rows = [c for c in checks if isinstance(c[1], RowCheck)]
     uniques = [c for c in checks if isinstance(c[1], UniqueCheck)]
-    keys = list(dict.fromkeys(c.column for _, c in uniques)) or [None]
+    keys = list(dict.fromkeys(c.column for _, c in uniques))
+    on_key = {key: [c for c in uniques if c[1].column == key] for key in keys}
+    rows = []
+    for label, check in checks:
+        if isinstance(check, RowCheck):
+            is_key_null = check.name == NOT_NULL and check.column in on_key
+            (on_key[check.column] if is_key_null else rows).append((label, check))
+
+    reports = []
+    if rows and not (one_pass and keys):
+        reports.append(_row_report(df, table, rows))
+        rows = []
+    for key in keys:
+        reports.append(_key_report(df, table, key, on_key[key], rows))
+        rows = []
+    return union_reports(reports)
 
-    def on_key(key):
-        return [c for c in uniques if c[1].column == key]
 
-    reports = [_fused(df, table, rows, on_key(keys[0]))]
-    reports += [_fused(df, table, [], on_key(key)) for key in keys[1:]]
-    return union_reports(reports)
+class _Counters:
+    """Aggregates that count evaluated values and violations of row checks."""
 
+    def __init__(self, rows: Sequence[Labelled]):
+        self._rows = rows
+        valued = sorted({c.column for _, c in rows if not c.nulls_count})
+        self._seen = {column: f"n_{i}" for i, column in enumerate(valued)}
 
-def _fused(
-    df: DataFrame, table: str, rows: Sequence[Labelled], uniques: Sequence[Labelled]
-) -> DataFrame:
-    valued = sorted({c.column for _, c in rows if not c.nulls_count})
-    seen = {column: f"n_{i}" for i, column in enumerate(valued)}
-    # Per group when a unique column is grouped on, over the whole table otherwise.
-    first = [F.count("*").alias("n_rows")]
-    first += [F.count(column).alias(alias) for column, alias in seen.items()]
-    first += [
-        F.count_if(c.violated(F.col(c.column))).alias(f"v_{i}") for i, (_, c) in enumerate(rows)
-    ]
-    if uniques:
-        value = F.col("_value")
-        key = uniques[0][1].column
-        grouped = df.withColumn("_value", F.col(key)).groupBy("_value").agg(*first)
-        totals = [
-            F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in grouped.columns if c != "_value"
+    def aggregates(self) -> list[Column]:
+        return [
+            F.count("*").alias("n_rows"),
+            *[F.count(column).alias(alias) for column, alias in self._seen.items()],
+            *[F.count_if(c.violated(F.col(c.column))).alias(f"v_{i}")
+              for i, (_, c) in enumerate(self._rows)],
         ]
-        repeated = value.isNotNull() & (F.col("n_rows") > 1)
-        totals += [
-            F.coalesce(F.sum(F.when(value.isNotNull(), F.col("n_rows"))), F.lit(0))
-            .alias("unique_rows"),
-            F.coalesce(F.sum(F.when(repeated, F.col("n_rows"))), F.lit(0)).alias("repeated_rows"),
+
+    def names(self) -> list[str]:
+        return ["n_rows", *self._seen.values(), *[f"v_{i}" for i in range(len(self._rows))]]
+
+    def results(self, table: str) -> list[Column]:
+        results = []
+        for i, (suite, check) in enumerate(self._rows):
+            evaluated = F.col("n_rows" if check.nulls_count else self._seen[check.column])
+            violations = F.col(f"v_{i}")
+            ok = violations == 0
+            if check.mostly < 1.0:
+                # NULL without a single value to judge, which is no failure.
+                share = ratio(evaluated - violations, evaluated)
+                ok = F.coalesce(share >= check.mostly, F.lit(True))
+            results.append(_result(suite, table, check, ok, evaluated, violations))
+        return results
+
+
+def _row_report(df: DataFrame, table: str, rows: Sequence[Labelled]) -> DataFrame:
+    counters = _Counters(rows)
+    return df.agg(*counters.aggregates()).select(F.inline(F.array(*counters.results(table))))
+
+
+def _key_report(
+    df: DataFrame, table: str, key: str, on_key: Sequence[Labelled], riders: Sequence[Labelled]
+) -> DataFrame:
+    counters = _Counters(riders)
+    value, n_rows = F.col("_value"), F.col("n_rows")
+    repeated = value.isNotNull() & (n_rows > 1)
+
+    def total(rows: Column, alias: str) -> Column:
+        return F.coalesce(F.sum(rows), F.lit(0)).alias(alias)
+
+    summary = (
+        df.withColumn("_value", F.col(key)).groupBy("_value").agg(*counters.aggregates())
+        .agg(
+            *[total(F.col(name), name) for name in counters.names()],
+            total(F.when(value.isNull(), n_rows), "null_rows"),
+            total(F.when(repeated, n_rows), "repeated_rows"),
             F.count_if(repeated).alias("repeated_values"),
-        ]
-        summary = grouped.agg(*totals)
-    else:
-        summary = df.agg(*first)
-
-    results = []
-    for i, (suite, check) in enumerate(rows):
-        evaluated = F.col("n_rows" if check.nulls_count else seen[check.column])
-        violations = F.col(f"v_{i}")
-        ok = violations == 0
-        if check.mostly < 1.0:
-            # NULL without a single value to judge, which is no failure.
-            share = ratio(evaluated - violations, evaluated)
-            ok = F.coalesce(share >= check.mostly, F.lit(True))
-        results.append(_result(suite, table, check, ok, evaluated, violations))
-    for suite, check in uniques:
-        violations = F.col("repeated_values" if check.per_value else "repeated_rows")
-        results.append(
-            _result(suite, table, check, violations == 0, F.col("unique_rows"), violations)
         )
+    )
+    results = counters.results(table)
+    for suite, check in on_key:
+        if isinstance(check, RowCheck):
+            evaluated, violations = n_rows, F.col("null_rows")
+        else:
+            evaluated = n_rows - F.col("null_rows")
+            violations = F.col("repeated_values" if check.per_value else "repeated_rows")
+        results.append(_result(suite, table, check, violations == 0, evaluated, violations))
     return summary.select(F.inline(F.array(*results)))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.quality.checks import (
+    KEYED_TABLES,
     Check,
     Labelled,
     RowCheck,
@@ -175,7 +176,7 @@ def run_contracts(
 ) -> DataFrame:
     """Report over the contract checks of every table.
 
-    All kinds of one table share a pass, except references, which need the parent's keys.
+    The kinds of one table share its passes, except references, which need the parent's keys.
     """
     reports = [
         run_checks(frame(table), table, checks, "contract")
@@ -206,7 +207,7 @@ def singular_checks() -> dict[str, list[Check]]:
 
 
 def run_everything(frame: Callable[[str], DataFrame], bands: Bands = Bands()) -> DataFrame:
-    """Report over contracts, assertions and value suites, with one pass per table for all."""
+    """Report over contracts, assertions and value suites, sharing the passes over each table."""
     labelled: dict[str, list[Labelled]] = {
         table: [("contract", c) for c in contract.checks(CONTRACT_KINDS)]
         for table, contract in CONTRACTS.items()
@@ -214,7 +215,10 @@ def run_everything(frame: Callable[[str], DataFrame], bands: Bands = Bands()) ->
     for suite, tables in (("singular", singular_checks()), ("values", value_suites(bands))):
         for table, checks in tables.items():
             labelled.setdefault(table, []).extend((suite, c) for c in checks)
-    reports = [run_labelled(frame(table), table, checks) for table, checks in labelled.items()]
+    reports = [
+        run_labelled(frame(table), table, checks, one_pass=table in KEYED_TABLES)
+        for table, checks in labelled.items()
+    ]
     return union_reports(reports + run_references(frame))
 
 

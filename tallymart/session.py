@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings. Lookup joins keep one row per key on the right, so a hot key only ever
 # inflates the left side; AQE splits such a partition by map output and replicates the matching
@@ -19,17 +19,38 @@ ADAPTIVE_CONF = {
 STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session owned by the caller.
+_INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+# One shuffle partition per this many input splits (128 MB each by default): the columns a query
+# keeps are a fraction of the files. The cap bounds the driver's map-output bookkeeping; past it
+# partitions grow, and sorts and hash aggregates spill.
+SPLITS_PER_PARTITION = 4
+MAX_SHUFFLE_PARTITIONS = 20_000
 
-    Only runtime SQL settings are touched. Shuffle parallelism, memory and the session time zone
-    stay with whoever created the session; no operator here depends on the session time zone.
+
+def tune(spark: SparkSession, largest: DataFrame | None = None) -> SparkSession:
+    """Apply the adaptive-execution settings to a session owned by the caller.
+
+    Only runtime SQL settings are touched. Memory, cores and the session time zone stay with
+    whoever created the session; no operator here depends on the session time zone. Given the
+    ``largest`` input table, shuffles start with a number of partitions that follows its size
+    (never fewer than ``spark.sql.shuffle.partitions``); AQE merges those that stay small.
     """
     for key, value in ADAPTIVE_CONF.items():
         spark.conf.set(key, value)
+    if largest is not None:
+        spark.conf.set(_INITIAL_PARTITIONS, str(initial_partitions(
+            input_splits=largest.rdd.getNumPartitions(),
+            configured=int(spark.conf.get("spark.sql.shuffle.partitions")),
+        )))
     return spark
 
 
+def initial_partitions(input_splits: int, configured: int) -> int:
+    """Shuffle partitions to start with for an input of so many splits."""
+    by_size = min(input_splits // SPLITS_PER_PARTITION, MAX_SHUFFLE_PARTITIONS)
+    return max(configured, by_size)
+
+
 def local_session(cpus: int | str = "*", app: str = "tallymart", **conf: str) -> SparkSession:
     """A local session for tests and the benchmark."""
     builder = (
