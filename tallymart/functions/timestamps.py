@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = "timestamp_ntz'1970-01-01 00:00:00'"
+
+def naive_literal(value: dt.datetime) -> Column:
+    """A ``timestamp_ntz`` constant; ``lit`` would make an instant of it in the session zone."""
+    return F.expr(f"timestamp_ntz'{value.isoformat(sep=' ')}'")
 
 
 def to_utc(instant: Column) -> Column:
@@ -15,7 +20,7 @@ def to_utc(instant: Column) -> Column:
     zone leaves daylight saving time.
     """
     return F.timestamp_add(
-        "MICROSECOND", F.unix_micros(instant.cast("timestamp")), F.expr(_EPOCH)
+        "MICROSECOND", F.unix_micros(instant.cast("timestamp")), naive_literal(dt.datetime(1970, 1, 1))
     )
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.money import dollars
-from tallymart.functions.timestamps import to_utc
+from tallymart.functions.timestamps import naive_literal, to_utc
 from tallymart.governance.access import register_views, without_pii
 from tallymart.governance.publish import GateClosed, live_marts, publish, resolver
 from tallymart.operators.staging import STAGING
@@ -248,7 +248,7 @@ def freshness(layers: Layers) -> DataFrame:
     landed = {
         name: frame.withColumn(
             "_loaded_at",
-            F.lit(BATCH_TIME - dt.timedelta(hours=LANDED_HOURS_AGO[name])).cast("timestamp_ntz"))
+            naive_literal(BATCH_TIME - dt.timedelta(hours=LANDED_HOURS_AGO[name])))
         for name, frame in layers.raw.items()
     }
     return source_freshness(landed, BATCH_TIME)

@@ -8,6 +8,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallymart.functions.timestamps import naive_literal
 from tallymart.specs import RAW_TABLES
 
 LOAD_REPORT_SCHEMA = "table_name string, rows bigint, status string, loaded_at timestamp_ntz"
@@ -37,7 +38,7 @@ def with_audit(raw: DataFrame, loaded_at: dt.datetime) -> DataFrame:
     """Add when the batch was landed (naive UTC, whole seconds) and each row's file name."""
     return raw.select(
         "*",
-        F.lit(loaded_at.replace(microsecond=0)).cast("timestamp_ntz").alias("_loaded_at"),
+        naive_literal(loaded_at.replace(microsecond=0)).alias("_loaded_at"),
         F.col("_metadata.file_name").alias("_source_file"),
     )
 

@@ -1,0 +1,181 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallymart.quality import consistency, suites
+from tallymart.quality.checks import (
+    UniqueCheck,
+    accepted_values,
+    between,
+    gate_summary,
+    not_null,
+    rule,
+    run_checks,
+    run_labelled,
+    run_reference_check,
+)
+from tallymart.quality.freshness import source_freshness
+from tallymart.quality.mutation import Defect, detect_defects, inject, standard_defects
+from tallymart.plans.layers import Layers
+from tallymart.governance.publish import resolver
+from tallymart.sources.testdata import TestTables
+from tests.frames import day, staged_items, staged_orders, staged_products
+
+
+@pytest.fixture(scope="module")
+def sample(spark):
+    return spark.createDataFrame(
+        [(1, 1.0, "a"), (1, -5.0, "b"), (2, None, None), (None, 50.0, "zz"), (None, 100.0, "a"),
+         (3, 100.5, "a")], "k bigint, x double, s string")
+
+
+def outcome(report):
+    return {(r.check_name, r.column_name): (r.success, r.evaluated, r.violations)
+            for r in report.collect()}
+
+
+
+def checks():
+    return [not_null("k"), UniqueCheck("k"), not_null("x"), between("x", 0, 100),
+            accepted_values("s", ["a", "b"]), rule("positive", F.col("x") > 0, "x")]
+
+
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_null_handling_of_every_kind(sample, one_pass):
+    labelled = [("t", c) for c in checks()]
+    assert outcome(run_labelled(sample, "t", labelled, one_pass)) == {
+        ("not_null", "k"): (False, 6, 2),
+        ("unique", "k"): (False, 4, 2),
+        ("not_null", "x"): (False, 6, 1),
+        ("between", "x"): (False, 5, 2),
+        ("accepted_values", "s"): (False, 5, 1),
+        ("rule:positive", "x"): (False, 6, 1),
+    }
+
+
+def test_unique_counts_values_or_rows(sample):
+    three = sample.unionAll(sample)
+    per_value = run_checks(three, "t", [UniqueCheck("k", per_value=True)], "t")
+    assert outcome(per_value) == {("unique", "k"): (False, 8, 3)}
+    per_row = run_checks(three, "t", [UniqueCheck("k")], "t")
+    assert outcome(per_row) == {("unique", "k"): (False, 8, 8)}
+
+
+@pytest.mark.parametrize("bad,success", [(0, True), (1, True), (2, False)])
+def test_tolerance_is_inclusive(spark, bad, success):
+    df = spark.range(100).select(F.when(F.col("id") < bad, -1.0).otherwise(1.0).alias("x"))
+    report = run_checks(df, "t", [between("x", 0, None, mostly=0.99)], "t")
+    assert outcome(report) == {("between_mostly", "x"): (success, 100, bad)}
+
+
+@pytest.mark.parametrize("one_pass", [True, False])
+def test_an_empty_table_passes(sample, one_pass):
+    labelled = [("t", c) for c in [*checks(), between("x", 0, 1, mostly=0.5)]]
+    report = run_labelled(sample.filter("false"), "t", labelled, one_pass)
+    assert gate_summary(report).first().gate_open is True
+    assert {r.evaluated for r in report.collect()} == {0}
+
+
+def test_references(spark, sample):
+    parents = spark.createDataFrame([(1,), (1,), (3,)], "id bigint")
+    report = run_reference_check(sample, "k", parents, "id", "t", "contract")
+    assert outcome(report) == {("relationships", "k"): (False, 4, 1)}
+
+
+def test_contract_and_suite_sizes():
+    kinds = [c for contract in suites.CONTRACTS.values() for c in
+             (*contract.not_null_checks(), *contract.unique_checks(), *contract.accepted_checks())]
+    references = sum(len(c.references) for c in suites.CONTRACTS.values())
+    singular = sum(map(len, suites.singular_checks().values()))
+    assert len(kinds) + references + singular == 59
+    assert sum(len(c.not_null_checks()) for c in suites.CONTRACTS.values()) == 30
+    assert sum(len(c.unique_checks()) for c in suites.CONTRACTS.values()) == 19
+    values = suites.value_suites()
+    rules = [c for table in values.values() for c in table if c.name.startswith("rule:")]
+    assert (sum(map(len, values.values())), len(rules)) == (25, 4)
+
+
+def test_everything_reports_every_check_once(spark, sf_medium):
+    from tallymart.plans.registry import TEST_BANDS
+
+    layers = Layers(TestTables(spark, sf_medium))
+    report = suites.run_everything(resolver(layers), TEST_BANDS).collect()
+    assert len(report) == 59 + 25
+    assert [r for r in report if not r.success] == []
+
+
+def test_row_assertions_return_offenders(spark):
+    items = staged_items(spark, [(1, 1, 1, "Shipped", -1.0), (2, 1, 1, "Shipped", 0.0),
+                                 (3, 1, 1, "Shipped", None)])
+    assert [tuple(r) for r in suites.negative_prices(items).collect()] == [(1, -1.0)]
+    days = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), 10.0, 10.005), (dt.date(2024, 1, 2), 10.0, 10.5)],
+        "order_date date, net_revenue_mgmt double, recon_check double")
+    assert [tuple(r) for r in suites.unreconciled_days(days).collect()] == [
+        (dt.date(2024, 1, 2), 10.0, 10.5, 0.5)]
+
+
+def test_bad_ladder_is_a_violation(spark):
+    def days(rows):
+        return spark.createDataFrame(
+            rows, "gmv double, gross_revenue double, net_revenue double, "
+                  "recognized_revenue double, active_customers bigint, net_orders bigint")
+
+    rules = [c for c in suites.value_suites()["fct_daily_kpis"] if c.name.startswith("rule:")]
+    bad = days([(1.0, 2.0, 1.0, 1.0, 1, 1), (3.0, 2.0, 2.5, 2.6, 3, 2), (3.0, None, 2.0, 2.0, 1, 1),
+                (3.0, 3.0, 3.0, 3.005, 1, 1)])
+    assert {r.check_name: r.violations for r in run_checks(bad, "t", rules, "t").collect()} == {
+        "rule:ladder_order": 2, "rule:recognized_le_net": 1, "rule:active_le_orders": 1}
+
+
+def test_freshness_edges(spark):
+    now = dt.datetime(2024, 1, 3, 12)
+
+    def landed(*hours):
+        return spark.createDataFrame(
+            [(now - dt.timedelta(hours=h),) for h in hours], "_loaded_at timestamp_ntz")
+
+    status = {r.table_name: r.status for r in source_freshness({
+        "orders": landed(25, 99), "users": landed(26), "products": landed(27),
+        "events": landed(48), "order_items": landed(49), "inventory_items": landed()}, now).collect()}
+    assert status == {"orders": "pass", "users": "pass", "products": "warn", "events": "warn",
+                      "order_items": "error", "inventory_items": "error"}
+
+
+def test_every_standard_defect_is_caught(spark, sf_medium):
+    from tallymart.plans.registry import TEST_BANDS
+
+    layers = Layers(TestTables(spark, sf_medium)).with_written_orders("test_defects")
+    rows = detect_defects(resolver(layers), bands=TEST_BANDS).collect()
+    caught = {r.defect: r.check_name for r in rows if r.caught}
+    assert caught == {"negative_price": "between", "null_date": "not_null",
+                      "rate_above_one": "between", "duplicate_key": "unique"}
+    assert all(r.passed_before for r in rows)
+    assert {d.name for d in standard_defects()} == set(caught)
+
+
+def test_injection_changes_one_row(spark):
+    items = staged_items(spark, [(2, 1, 1, "Shipped", 5.0), (1, 1, 1, "Shipped", 6.0),
+                                 (3, 1, 1, "Shipped", 7.0)])
+    bad = inject(items, Defect("d", "t", "order_item_id", "sale_price", F.lit(-1.0)))
+    assert {r.order_item_id: r.sale_price for r in bad.collect()} == {1: -1.0, 2: 5.0, 3: 7.0}
+    doubled = inject(items, Defect("d", "t", "order_item_id", "order_item_id"))
+    assert sorted(r.order_item_id for r in doubled.collect()) == [1, 1, 3]
+
+
+def test_consistency_checks(spark):
+    items = staged_items(spark, [(1, 1, 1, "Shipped", 5.0), (2, 1, 1, "Returned", 1.0),
+                                 (3, 2, 2, None, 5.0), (4, 99, 3, "Shipped", 5.0)])
+    orders = staged_orders(spark, [(1, 1, "Shipped", day(1), 2), (2, 1, "Lost", day(1), 3),
+                                   (3, 1, "Lost", day(1), 0)])
+    agreement = consistency.status_agreement(items, orders).first()
+    assert tuple(agreement) == (3, 1)
+    assert tuple(consistency.item_counts(orders, items).first()) == (3, 1, 5)
+    products = staged_products(spark, [(1, "a", 2.0), (2, "a", -1.0)])
+    assert tuple(consistency.price_covers_cost(items, products).first()) == (3, 1, 1)
+    stamped = orders.withColumn(
+        "shipped_at", F.when(F.col("order_id") == 3, F.col("created_at")))
+    rows = {r.column_name: (r.evaluated, r.missing, r.unexpected)
+            for r in consistency.conditional_nulls(stamped).collect()}
+    assert rows == {"shipped_at": (3, 1, 1), "delivered_at": (3, 0, 0), "returned_at": (3, 0, 0)}
