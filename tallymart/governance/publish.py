@@ -119,6 +119,21 @@ def live_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return read_run(spark, root, run_id)
 
 
+def attach_marts(spark: SparkSession, root: str, database: str = "main_marts") -> list[str]:
+    """Views ``<database>.<mart>`` over the live run, for SQL consumers.
+
+    Called after a publication; a view reads files and gives nobody a way to write them.
+    """
+    run_id = live_run(spark, root)
+    if run_id is None:
+        raise LookupError(f"nothing is published under {root}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for mart in MARTS:
+        path = mart_path(root, run_id, mart)
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{mart} AS SELECT * FROM parquet.`{path}`")
+    return [f"{database}.{mart}" for mart in MARTS]
+
+
 def refresh(
     spark: SparkSession,
     source_dir: str,

@@ -163,7 +163,7 @@ def export_marts(spark: SparkSession, directory: str) -> DataFrame:
 def publish_gate(spark: SparkSession, directory: str) -> DataFrame:
     """Rows per live mart after a gated publication; none if the gate stayed closed."""
     layers = _layers(spark, directory)
-    root = scratch_dir(spark, f"publish_gate/{dt.datetime.now():%Y%m%d%H%M%S%f}")
+    root = scratch_dir(spark, "publish_gate")
     try:
         publish(layers, root, "run-1", BATCH_TIME, TEST_BANDS)
     except GateClosed:

@@ -14,6 +14,7 @@ ADAPTIVE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
 }
 # Static: without call-site capture, building a column costs one round trip to the JVM, not several.
 STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}

@@ -3,36 +3,47 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.timestamps import to_utc
+from tallymart.workspace import side_by_side
 
 
 def write_csv_drop(frames: Mapping[str, DataFrame], target_dir: str) -> None:
     """One ``<table>.csv`` folder per raw table; instants carry a ``+00:00`` offset."""
-    for name, frame in frames.items():
-        columns = [
-            F.concat(to_utc(F.col(c)).cast("string"), F.lit("+00:00")).alias(c)
-            if kind == "timestamp" else F.col(c)
-            for c, kind in frame.dtypes
-        ]
-        (
-            frame.select(*columns).write.mode("overwrite")
-            .option("header", True)
-            .option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", False)
-            .option("ignoreTrailingWhiteSpace", False)
-            .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
-            .csv(f"{target_dir.rstrip('/')}/{name}.csv")
-        )
+    root = target_dir.rstrip("/")
+    side_by_side(
+        partial(_write_csv, frame, f"{root}/{name}.csv") for name, frame in frames.items()
+    )
+
+
+def _write_csv(frame: DataFrame, target: str) -> None:
+    columns = [
+        F.concat(to_utc(F.col(c)).cast("string"), F.lit("+00:00")).alias(c)
+        if kind == "timestamp" else F.col(c)
+        for c, kind in frame.dtypes
+    ]
+    (
+        frame.select(*columns).write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+        .csv(target)
+    )
 
 
 def export_parquet(frames: Mapping[str, DataFrame], target_dir: str) -> None:
     """Write every frame as ``<target_dir>/<name>``, replacing an earlier export."""
-    for name, frame in frames.items():
-        frame.write.mode("overwrite").parquet(f"{target_dir.rstrip('/')}/{name}")
+    root = target_dir.rstrip("/")
+    side_by_side(
+        partial(frame.write.mode("overwrite").parquet, f"{root}/{name}")
+        for name, frame in frames.items()
+    )
 
 
 def write_json(frame: DataFrame, target: str) -> None:

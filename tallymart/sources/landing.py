@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.timestamps import naive_literal
 from tallymart.specs import RAW_TABLES
+from tallymart.workspace import side_by_side
 
 LOAD_REPORT_SCHEMA = "table_name string, rows bigint, status string, loaded_at timestamp_ntz"
 
@@ -85,13 +87,15 @@ def load_raw(
     if strict and missing:
         raise MissingSource(f"expected tables without a file: {', '.join(missing)}")
     stamp = loaded_at.replace(microsecond=0)
-    report = []
-    for name, path in paths.items():
-        if name in missing:
-            report.append((name, None, "skipped", None))
-            continue
-        rows = load_table(spark, path, name, raw_table_path(raw_dir, name), stamp)
-        report.append((name, rows, "loaded", stamp))
+    present = [name for name in paths if name not in missing]
+    landed = dict(zip(present, side_by_side(
+        partial(load_table, spark, paths[name], name, raw_table_path(raw_dir, name), stamp)
+        for name in present
+    )))
+    report = [
+        (name, landed[name], "loaded", stamp) if name in landed else (name, None, "skipped", None)
+        for name in paths
+    ]
     return spark.createDataFrame(report, LOAD_REPORT_SCHEMA)
 
 

@@ -3,9 +3,24 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+
+
+def side_by_side(jobs: Iterable[Callable[[], T]], width: int = 4) -> list[T]:
+    """Results of independent jobs, a few submitted at a time.
+
+    The small tables then fill the cores that the last tasks of a large table leave idle. An
+    error in any job is raised.
+    """
+    with ThreadPoolExecutor(max_workers=width) as pool:
+        return list(pool.map(lambda job: job(), jobs))
+
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """Folder for one named piece of intermediate output of this application.

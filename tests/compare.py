@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+from pathlib import Path
 
 import duckdb
 
@@ -15,7 +16,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def connect(directory: str):
     con = duckdb.connect()
     for table in TABLES:
-        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{directory}/{table}.parquet'")
+        path = Path(directory) / f"{table}.parquet"
+        files = path / "*.parquet" if path.is_dir() else path
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{files}'")
     return con
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from tallymart.governance import access
 from tallymart.governance.publish import (
     GateClosed,
+    attach_marts,
     live_marts,
     live_run,
     publish,
@@ -44,6 +45,12 @@ def test_refresh_publishes_and_repeats_itself(spark, feed, tmp_path):
     assert live_run(spark, root) == "20240202T060000"
     assert {m: fingerprint(df) for m, df in live_marts(spark, root).items()} == first
     assert set(first) == set(MARTS)
+    attach_marts(spark, root)
+    row = spark.sql("""
+        SELECT round(sum(net_revenue), 2) AS net, sum(net_orders) AS orders,
+               (SELECT count(*) FROM main_marts.dim_customers WHERE is_repeat_customer) AS repeaters
+        FROM main_marts.fct_daily_kpis""").first()
+    assert (row.net, row.orders, row.repeaters) == (2751540713.91, 13979, 1497)
     log = spark.read.parquet(f"{root}/load_log")
     assert log.select("run_id").distinct().count() == 2
 
