@@ -62,7 +62,7 @@ class Layers:
 
     @cached_property
     def fct_daily_kpis(self) -> DataFrame:
-        return marts.fct_daily_kpis(self.fct_orders)
+        return marts.fct_daily_kpis(self.fct_orders, self._written_orders is not None)
 
     @cached_property
     def fct_revenue_recognition(self) -> DataFrame:

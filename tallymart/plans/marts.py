@@ -83,17 +83,20 @@ def dim_products(products: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def kpi_aggregates():
-    """Aggregates shared by the daily mart and the per-period metrics."""
-    buyer = F.when(F.col("is_net_order"), F.col("user_id"))
+def _additive_kpis():
     return [
         F.count("*").alias("total_orders"),
         F.count_if("is_net_order").alias("net_orders"),
-        F.count_distinct(buyer).alias("active_customers"),
         *[F.sum(source).alias(target) for target, source in LADDER_SUMS.items()],
     ]
 
 
+def kpi_aggregates():
+    """Aggregates shared by the daily mart and the per-period metrics."""
+    buyer = F.when(F.col("is_net_order"), F.col("user_id"))
+    return [*_additive_kpis(), F.count_distinct(buyer).alias("active_customers")]
+
+
 def kpi_ratios() -> dict:
     """Ratios of period totals, NULL where the denominator is not positive."""
     return {
@@ -103,9 +106,30 @@ def kpi_ratios() -> dict:
     }
 
 
-def fct_daily_kpis(orders: DataFrame) -> DataFrame:
-    """Headline KPIs, one row per UTC day that has orders."""
-    return orders.groupBy("order_date").agg(*kpi_aggregates()).withColumns(kpi_ratios())
+DAILY_COLUMNS = ("order_date", "total_orders", "net_orders", "active_customers",
+                 *LADDER_SUMS, "aov", "refund_rate", "net_margin_rate")
+
+
+def fct_daily_kpis(orders: DataFrame, written: bool = False) -> DataFrame:
+    """Headline KPIs, one row per UTC day that has orders.
+
+    Counting distinct customers beside the sums makes every sum travel with each (day, customer)
+    pair. For a ``written`` order fact, where a second scan of two columns is cheap, the pairs are
+    shuffled on their own and the sums leave each task combined to one row per day.
+    """
+    if written:
+        customers = (
+            orders.filter("is_net_order").select("order_date", "user_id").distinct()
+            .groupBy("order_date").agg(F.count("user_id").alias("active_customers"))
+        )
+        stacked = orders.groupBy("order_date").agg(*_additive_kpis()).unionByName(
+            customers, allowMissingColumns=True)
+        daily = stacked.groupBy("order_date").agg(
+            *[F.sum(c).alias(c) for c in stacked.columns if c != "order_date"]
+        ).withColumn("active_customers", F.coalesce("active_customers", F.lit(0)))
+    else:
+        daily = orders.groupBy("order_date").agg(*kpi_aggregates())
+    return daily.withColumns(kpi_ratios()).select(*DAILY_COLUMNS)
 
 
 def fct_revenue_recognition(orders: DataFrame) -> DataFrame:
