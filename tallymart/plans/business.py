@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -159,7 +161,11 @@ def dashboard_kpis(daily: DataFrame, customers: DataFrame) -> DataFrame:
 
 def dashboard_monthly(daily: DataFrame, year: int | None = None) -> DataFrame:
     """Monthly series labelled ``yyyy-MM``, for all years or one."""
-    days = daily if year is None else daily.filter(F.year("order_date") == year)
+    days = daily
+    if year is not None:
+        # A range, unlike year(), can be pushed to the files of the mart.
+        first, last = F.lit(dt.date(year, 1, 1)), F.lit(dt.date(year, 12, 31))
+        days = daily.filter(F.col("order_date").between(first, last))
     return (
         days.groupBy(F.date_format("order_date", "yyyy-MM").alias("month"))
         .agg(

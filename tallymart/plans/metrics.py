@@ -150,25 +150,30 @@ def recognition_by_ship_date(items: DataFrame) -> DataFrame:
 def revenue_drop_alert(daily: DataFrame, days: int = 28, sigmas: float = 3.0) -> DataFrame:
     """Days whose net revenue lies below mean - ``sigmas`` x stddev of the preceding ``days`` days.
 
-    Each day is sent to the days it is history for, so the work spreads over days instead of
-    sorting them all in one task. Missing days are simply absent from the history.
+    Each day is sent to itself and to the days it is history for. One grouping then has a day and
+    its history together: the series is neither sorted in one task nor computed twice. Missing
+    days are simply absent from the history.
     """
-    ahead = F.explode(F.sequence(F.lit(1), F.lit(days)))
-    history = (
-        daily.select("order_date", "net_revenue", ahead.alias("offset"))
-        .groupBy(F.date_add("order_date", F.col("offset")).alias("order_date"))
+    offset, revenue = F.col("offset"), F.col("net_revenue")
+    past = F.when(offset > 0, revenue)
+    judged = (
+        daily.select(
+            "order_date", "net_revenue", F.explode(F.sequence(F.lit(0), F.lit(days))).alias("offset")
+        )
+        .groupBy(F.date_add("order_date", offset).alias("order_date"))
         .agg(
-            F.count("net_revenue").alias("history_days"),
-            F.avg("net_revenue").alias("mean_net_revenue"),
-            F.stddev_samp("net_revenue").alias("stddev_net_revenue"),
+            F.min(offset).alias("nearest"),
+            F.max(F.when(offset == 0, revenue)).alias("net_revenue"),
+            F.count(past).alias("history_days"),
+            F.avg(past).alias("mean_net_revenue"),
+            F.stddev_samp(past).alias("stddev_net_revenue"),
         )
+        .filter(F.col("nearest") == 0)
     )
     floor = F.col("mean_net_revenue") - F.lit(sigmas) * F.col("stddev_net_revenue")
-    return daily.select("order_date", "net_revenue").join(history, "order_date", "left").select(
-        "order_date", "net_revenue",
-        F.coalesce("history_days", F.lit(0)).alias("history_days"),
-        "mean_net_revenue", "stddev_net_revenue",
-        F.coalesce(F.col("net_revenue") < floor, F.lit(False)).alias("is_drop"),
+    return judged.select(
+        "order_date", "net_revenue", "history_days", "mean_net_revenue", "stddev_net_revenue",
+        F.coalesce(revenue < floor, F.lit(False)).alias("is_drop"),
     )
 
 
