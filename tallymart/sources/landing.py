@@ -8,6 +8,7 @@ from functools import partial
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallymart.functions.timestamps import naive_literal
 from tallymart.specs import RAW_TABLES
@@ -20,17 +21,28 @@ class MissingSource(Exception):
     """A source folder or, in strict mode, an expected table file is missing."""
 
 
+class MissingColumn(Exception):
+    """A declared column is not in the header of the file."""
+
+
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A CSV file (or folder of part files) with a header, read with declared types.
 
-    Types are declared, not sniffed: a postal code keeps its leading zero, and a value that does
-    not fit fails the load. Timestamps without an offset in an instant column are UTC.
+    Columns are matched by name; columns beyond the declared ones are landed as text. Types are
+    declared, not sniffed: a postal code keeps its leading zero, and a value that does not fit
+    fails the load, as does a part file with another header. Timestamps without an offset in an
+    instant column are UTC.
     """
+    reader = spark.read.option("header", True).option("escape", '"')
+    declared = {field.name: field for field in T.StructType.fromDDL(schema)}
+    header = reader.csv(path).columns
+    if missing := declared.keys() - set(header):
+        raise MissingColumn(f"{path} lacks {', '.join(sorted(missing))}")
+    fields = [declared.get(name, T.StructField(name, T.StringType())) for name in header]
     return (
-        spark.read.schema(schema)
-        .option("header", True)
+        reader.schema(T.StructType(fields))
+        .option("enforceSchema", False)
         .option("mode", "FAILFAST")
-        .option("escape", '"')
         .option("timeZone", "UTC")
         .csv(path)
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tallymart.operators.staging import STAGING
 from tallymart.sources.exchange import write_csv_drop
 from tallymart.sources.landing import (
+    MissingColumn,
     MissingSource,
     append_load_report,
     load_health,
@@ -70,6 +71,25 @@ def test_a_value_that_does_not_fit_fails_the_load(spark, drop, tmp_path):
         load_raw(spark, str(drop), str(tmp_path / "raw"), AT)
 
 
+def test_columns_are_matched_by_name(spark, tmp_path):
+    path = tmp_path / "distribution_centers.csv"
+    path.write_text("name,note,latitude,id,longitude\nMemphis,new,35.1,1,-89.9\n")
+    row = read_csv(spark, str(path), RAW_TABLES["distribution_centers"].schema).first()
+    assert (row.id, row.name, row.latitude, row.longitude, row.note) == (
+        1, "Memphis", 35.1, -89.9, "new")
+    path.write_text("name,latitude,id\nMemphis,35.1,1\n")
+    with pytest.raises(MissingColumn, match="longitude"):
+        read_csv(spark, str(path), RAW_TABLES["distribution_centers"].schema)
+
+
+def test_part_files_must_share_a_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("id,name,latitude,longitude\n1,x,1.0,2.0\n")
+    (tmp_path / "b.csv").write_text("id,latitude,name,longitude\n1,1.0,x,2.0\n")
+    raw = read_csv(spark, str(tmp_path), RAW_TABLES["distribution_centers"].schema)
+    with pytest.raises(Exception, match="header|CSV"):
+        raw.collect()
+
+
 def test_missing_files(spark, drop, tmp_path):
     raw_dir = str(tmp_path / "raw")
     with pytest.raises(MissingSource):
