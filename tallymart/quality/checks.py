@@ -1,6 +1,6 @@
 """Check types and the runner that evaluates the checks of a table together.
 
-Every check yields one row of :data:`REPORT_COLUMNS`. NULL handling follows the usual contract
+Every check yields one row of :data:`REPORT_SCHEMA`. NULL handling follows the usual contract
 rules: only ``not_null`` objects to a NULL; a rule violated only when it is definitely false.
 """
 
@@ -13,10 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.money import ratio
-
-REPORT_COLUMNS = (
-    "suite", "table_name", "check_name", "column_name", "success", "evaluated", "violations"
+REPORT_SCHEMA = (
+    "suite string, table_name string, check_name string, column_name string, "
+    "success boolean, evaluated bigint, violations bigint"
 )
 NOT_NULL = "not_null"
 # Marts that their plan already leaves grouped or joined by their key.
@@ -137,23 +136,23 @@ class _Counters:
     def names(self) -> list[str]:
         return ["n_rows", *self._seen.values(), *[f"v_{i}" for i in range(len(self._rows))]]
 
-    def results(self, table: str) -> list[Column]:
+    def results(self, table: str) -> list[str]:
         results = []
         for i, (suite, check) in enumerate(self._rows):
-            evaluated = F.col("n_rows" if check.nulls_count else self._seen[check.column])
-            violations = F.col(f"v_{i}")
-            ok = violations == 0
+            evaluated = "n_rows" if check.nulls_count else self._seen[check.column]
+            violations = f"v_{i}"
+            ok = f"{violations} = 0"
             if check.mostly < 1.0:
                 # NULL without a single value to judge, which is no failure.
-                share = ratio(evaluated - violations, evaluated)
-                ok = F.coalesce(share >= check.mostly, F.lit(True))
+                share = f"try_divide({evaluated} - {violations}, {evaluated})"
+                ok = f"coalesce({share} >= {check.mostly}, true)"
             results.append(_result(suite, table, check, ok, evaluated, violations))
         return results
 
 
 def _row_report(df: DataFrame, table: str, rows: Sequence[Labelled]) -> DataFrame:
     counters = _Counters(rows)
-    return df.agg(*counters.aggregates()).select(F.inline(F.array(*counters.results(table))))
+    return df.agg(*counters.aggregates()).select(_report_rows(counters.results(table)))
 
 
 def _key_report(
@@ -178,26 +177,31 @@ def _key_report(
     results = counters.results(table)
     for suite, check in on_key:
         if isinstance(check, RowCheck):
-            evaluated, violations = n_rows, F.col("null_rows")
+            evaluated, violations = "n_rows", "null_rows"
         else:
-            evaluated = n_rows - F.col("null_rows")
-            violations = F.col("repeated_values" if check.per_value else "repeated_rows")
-        results.append(_result(suite, table, check, violations == 0, evaluated, violations))
-    return summary.select(F.inline(F.array(*results)))
-
-
-def _result(suite, table, check, success, evaluated, violations) -> Column:
-    return F.struct(
-        F.lit(suite).alias("suite"),
-        F.lit(table).alias("table_name"),
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.column).alias("column_name"),
-        success.alias("success"),
-        evaluated.cast("bigint").alias("evaluated"),
-        violations.cast("bigint").alias("violations"),
+            evaluated = "n_rows - null_rows"
+            violations = "repeated_values" if check.per_value else "repeated_rows"
+        results.append(_result(suite, table, check, f"{violations} = 0", evaluated, violations))
+    return summary.select(_report_rows(results))
+
+
+def _result(
+    suite: str, table: str, check: Check, success: str, evaluated: str, violations: str
+) -> str:
+    """One report row as a SQL expression over the counters."""
+    labels = {"suite": suite, "table_name": table, "check_name": check.name,
+              "column_name": check.column}
+    texts = ", ".join(f"'{name}', '{value}'" for name, value in labels.items())
+    return (
+        f"named_struct({texts}, 'success', {success}, "
+        f"'evaluated', cast({evaluated} AS bigint), 'violations', cast({violations} AS bigint))"
     )
 
 
+def _report_rows(results: Sequence[str]) -> Column:
+    return F.expr(f"inline(array({', '.join(results)}))")
+
+
 def run_reference_check(
     child: DataFrame, column: str, parent: DataFrame, parent_column: str, table: str, suite: str
 ) -> DataFrame:
@@ -217,9 +221,7 @@ def run_reference_check(
     )
     check = RowCheck("relationships", column, lambda value: F.lit(False))
     return orphans.select(
-        F.inline(F.array(
-            _result(suite, table, check, F.col("bad") == 0, F.col("evaluated"), F.col("bad"))
-        ))
+        _report_rows([_result(suite, table, check, "bad = 0", "evaluated", "bad")])
     )
 
 

@@ -206,8 +206,11 @@ def singular_checks() -> dict[str, list[Check]]:
     }
 
 
-def run_everything(frame: Callable[[str], DataFrame], bands: Bands = Bands()) -> DataFrame:
-    """Report over contracts, assertions and value suites, sharing the passes over each table."""
+def all_reports(frame: Callable[[str], DataFrame], bands: Bands = Bands()) -> list[DataFrame]:
+    """Contracts, assertions and value suites as one report per table and per reference.
+
+    The suites share the passes over a table. The reports are small, independent jobs.
+    """
     labelled: dict[str, list[Labelled]] = {
         table: [("contract", c) for c in contract.checks(CONTRACT_KINDS)]
         for table, contract in CONTRACTS.items()
@@ -219,7 +222,7 @@ def run_everything(frame: Callable[[str], DataFrame], bands: Bands = Bands()) ->
         run_labelled(frame(table), table, checks, one_pass=table in KEYED_TABLES)
         for table, checks in labelled.items()
     ]
-    return union_reports(reports + run_references(frame))
+    return reports + run_references(frame)
 
 
 def negative_prices(items: DataFrame) -> DataFrame:

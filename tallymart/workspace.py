@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 T = TypeVar("T")
 
 
-def side_by_side(jobs: Iterable[Callable[[], T]], width: int = 4) -> list[T]:
+def side_by_side(jobs: Iterable[Callable[[], T]], width: int = 8) -> list[T]:
     """Results of independent jobs, a few submitted at a time.
 
     The small tables then fill the cores that the last tasks of a large table leave idle. An
