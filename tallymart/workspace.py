@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
@@ -23,15 +24,17 @@ def side_by_side(jobs: Iterable[Callable[[], T]], width: int = 8) -> list[T]:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """Folder for one named piece of intermediate output of this application.
+    """A new folder for one piece of intermediate output; every call names another one.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``. Without that setting a
-    temporary folder is used in local mode; on a cluster its absence is an error, because a
-    machine-local folder is not visible to other executors.
+    Results are lazy: a folder shared by two calls would let the second overwrite what the first
+    has yet to read. The cluster names a shared folder in ``spark.checkpoint.dir``. Without that
+    setting a temporary folder is used in local mode; on a cluster its absence is an error,
+    because a machine-local folder is not visible to other executors.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/tallymart/{spark.conf.get('spark.app.id')}/{name}"
+        folder = f"{shared.rstrip('/')}/tallymart/{spark.conf.get('spark.app.id')}"
+        return f"{folder}/{uuid.uuid4().hex}/{name}"
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{tempfile.mkdtemp(prefix='tallymart-')}/{name}"
