@@ -26,11 +26,15 @@ BROADCAST_SOURCES = 10_000
 HEX_DIGITS = 13  # 52 bits, exact in a double
 
 
+def hashed(hex_digits: int, *parts: Column) -> Column:
+    """A non-negative long from the first digits of the parts' MD5."""
+    digest = F.md5(F.concat_ws("|", *parts).cast("binary"))
+    return F.conv(F.substring(digest, 1, hex_digits), 16, 10).cast("long")
+
+
 def uniform(*parts: Column) -> Column:
     """A number in (0, 1) from a hash of the parts."""
-    digest = F.md5(F.concat_ws("|", *parts).cast("binary"))
-    number = F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("double")
-    return (number + 0.5) / float(16 ** HEX_DIGITS)
+    return (hashed(HEX_DIGITS, *parts) + F.lit(0.5)) / F.lit(float(16 ** HEX_DIGITS))
 
 
 def inverse_poisson(u: Column, mean: Column) -> Column:
@@ -104,7 +108,7 @@ def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
     copied = drawn.where(F.col("copies") > 0).withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     keyed = copied.withColumn(
-        "shuffle_key", F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("copy")))
+        "shuffle_key", hashed(15, F.lit(str(seed)), doc, F.col("copy").cast("string")))
     # Hashed keys deal evenly without sampling the texts first; the sort orders each part.
     dealt = keyed.repartition(shuffle_partitions(spark), "shuffle_key").sortWithinPartitions(
         "shuffle_key", "doc_id", "copy")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallymart.llm import (
     bitslice,
@@ -20,6 +21,7 @@ from tallymart.llm import (
     warc,
 )
 from tallymart.llm.common import share_code, table
+from tallymart.llm.counterparts import SQL
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -50,7 +52,8 @@ def op5_hilbert_shards(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op6_warc_archive(spark: SparkSession, directory: str) -> DataFrame:
-    return warc.write_and_verify(spark, table(spark, directory, "pages"))
+    records = warc.write_and_verify(spark, table(spark, directory, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op7_toxicity_fm(spark: SparkSession, directory: str) -> DataFrame:
@@ -59,7 +62,8 @@ def op7_toxicity_fm(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def op8_poisson_mix(spark: SparkSession, directory: str) -> DataFrame:
-    return poisson.mix(table(spark, directory, "documents"))
+    copies = poisson.mix(table(spark, directory, "documents"))
+    return copies.withColumn("rate", F.round("rate", 6))
 
 
 def op9_simhash_vptree(spark: SparkSession, directory: str) -> DataFrame:
@@ -86,3 +90,7 @@ def queries() -> dict[str, Query]:
         op1_quality_fm, op2_projection_dedup, op3_bitslice_topk, op4_host_consensus_text,
         op5_hilbert_shards, op6_warc_archive, op7_toxicity_fm, op8_poisson_mix,
         op9_simhash_vptree, op10_histogram_packing)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(SQL)
