@@ -4,10 +4,10 @@ SQL = {
     "op2_projection_dedup": """
 WITH RECURSIVE vectors AS (
   SELECT row_number() OVER () AS row_id, vec_id, label,
-         list_transform(embedding, x -> x::DOUBLE) AS v,
+         list_transform(embedding, lambda x: x::DOUBLE) AS v,
          coalesce(label IS NOT NULL AND embedding IS NOT NULL
-           AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-           AND len(list_filter(embedding, x -> x <> 0)) > 0, false) AS usable
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS usable
   FROM embeddings),
 links AS (
   SELECT a.row_id AS a, b.row_id AS b, b.vec_id AS other
@@ -27,10 +27,10 @@ GROUP BY v.row_id, v.vec_id
 """,
     "op3_bitslice_topk": """
 WITH q AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT a.vec_id AS query_id, b.vec_id,
          list_inner_product(a.v, b.v)::BIGINT AS score
@@ -70,7 +70,7 @@ steps AS (
   FROM terms GROUP BY source),
 drawn AS (
   SELECT d.*, s.rate,
-         len(list_filter(s.below, x -> x < u))::INTEGER AS copies
+         len(list_filter(s.below, lambda x: x < u))::INTEGER AS copies
   FROM (SELECT *, (('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT
                    + 0.5::DOUBLE) / 4503599627370496 AS u FROM documents) d
   JOIN steps s ON s.source IS NOT DISTINCT FROM d.source),

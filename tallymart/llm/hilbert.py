@@ -85,8 +85,10 @@ def quantised(rows: DataFrame, dimensions: list[str], bits: int) -> Column:
     def coordinate(dimension: str) -> Column:
         edges = sorted(set(cuts[dimension] or []))
         above = [(F.col(dimension) >= edge).cast("long") for edge in edges]
-        return F.coalesce(reduce(lambda a, b: a + b, above, F.lit(0).cast("long")),
-                          F.lit(0).cast("long"))
+        # Few distinct values are spread over the whole axis, so that they part the curve early.
+        step = (1 << bits) // (len(edges) + 1)
+        rank = reduce(lambda a, b: a + b, above, F.lit(0).cast("long"))
+        return F.coalesce(rank * step, F.lit(0).cast("long"))
 
     return reduce(lambda code, d: F.shiftleft(code, bits) + coordinate(d), dimensions,
                   F.lit(0).cast("long"))

@@ -1,0 +1,170 @@
+"""Embedding near-dedup and exact top-k."""
+
+import itertools
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tallymart.llm import bitslice, projections
+from tallymart.llm.links import components, local_forest
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(
+        [(i, None if v is None else [None if x is None else float(x) for x in v], y)
+         for i, v, y in rows], SCHEMA)
+
+
+AWKWARD = [
+    (1, [1, 0, 0], 1), (1, [1, 0, 0], 1), (2, [2, 0, 0], 1), (3, [1, 0.1, 0], 1),
+    (4, [1, 0, 0], 2), (5, [1, 0, 0], None), (6, None, 1), (7, [], 1), (8, [0, 0, 0], 1),
+    (9, [1, None, 0], 1), (10, [1, float("nan"), 0], 1), (11, [1, float("inf"), 0], 1),
+    (None, [1, 0, 0], 1), (12, [1, 0], 1), (13, [-0.0, 1, 0], 3), (14, [0.0, 1, 0], 3),
+    (20, [3e-30, 0, 0], 1), (40, [0, 0, 1], 1),
+]
+
+
+def plain_links(rows, threshold=0.98):
+    rows = [(i, None if v is None else list(v), y) for i, v, y in rows]
+
+    def usable(v, y):
+        return (y is not None and v and all(x is not None and np.isfinite(x) for x in v)
+                and any(x for x in v))
+
+    links = {i: set() for i in range(len(rows))}
+    for (i, (_, a, x)), (j, (_, b, y)) in itertools.combinations(enumerate(rows), 2):
+        if usable(a, x) and usable(b, y) and x == y and len(a) == len(b):
+            a64, b64 = (np.array(v, dtype=np.float32).astype(float) for v in (a, b))
+            if a64 @ b64 / np.linalg.norm(a64) / np.linalg.norm(b64) >= threshold:
+                links[i].add(j)
+                links[j].add(i)
+    return links
+
+
+def plain_dedup(rows):
+    links = plain_links(rows)
+    result = []
+    for i, (vec_id, _, _) in enumerate(rows):
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()] - seen:
+                seen.add(j)
+                todo.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        component = min(ids) if ids else None
+        result.append((vec_id, len(links[i]), component,
+                       vec_id is not None and vec_id == component))
+    return sorted(result, key=str)
+
+
+def test_near_duplicates_of_awkward_rows(spark):
+    df = vectors(spark, AWKWARD).withColumn("n_links", F.lit(7)).withColumn("root", F.lit("x"))
+    got = [tuple(r) for r in projections.near_duplicates(df).collect()]
+    assert sorted(got, key=str) == plain_dedup(AWKWARD)
+    assert projections.near_duplicates(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("window, block, tile", [(4, 16, 8), (64, 1024, 1024)])
+def test_dense_groups_are_counted_in_full(spark, window, block, tile):
+    """Groups far larger than the window, a chain, and vectors without partners."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for group in range(3):
+        centre = rng.normal(size=16)
+        rows += [(len(rows) + n, centre + 0.02 * rng.normal(size=16), group % 2)
+                 for n in range(60)]
+    angles = np.arange(12) * 0.19  # neighbours link, others do not
+    rows += [(1000 + n, [np.cos(a), np.sin(a)] + [0] * 14, 1) for n, a in enumerate(angles)]
+    rows += [(2000 + n, rng.normal(size=16), 0) for n in range(60)]
+    got = [tuple(r) for r in projections.near_duplicates(
+        vectors(spark, rows), window=window, block=block, tile=tile).collect()]
+    assert sorted(got, key=str) == plain_dedup(rows)
+
+
+def test_recall_on_the_whole_table(spark):
+    """Every linked pair of the test table, against brute force."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = sorted(df.collect())
+    values = np.array([r["embedding"] for r in rows], dtype=np.float64)
+    labels = np.array([r["label"] for r in rows])
+    unit = values / np.linalg.norm(values, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.98) & (labels[:, None] == labels[None, :])
+    np.fill_diagonal(near, False)
+    got = {r["vec_id"]: r["n_links"] for r in projections.near_duplicates(df).collect()}
+    expected = dict(zip([r["vec_id"] for r in rows], near.sum(axis=1).tolist()))
+    assert got == expected
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(50)] + [(100, j) for j in range(101, 140)]
+    links += [(201, 200), (200, 201), (300, 300)]
+    df = spark.createDataFrame([*links, (None, 4)], "a long, b long")
+    roots = {r["node"]: r["root"] for r in components(df, "test").collect()}
+    assert all(roots[i] == 0 for i in range(1, 51))
+    assert all(roots[j] == 100 for j in range(101, 140))
+    assert roots[201] == 200 and 300 not in roots and 0 not in roots
+    assert components(df.limit(0), "test").count() == 0
+
+
+def test_local_forest():
+    near = np.zeros((6, 6), dtype=bool)
+    for a, b in ((0, 5), (5, 3), (2, 4)):
+        near[a, b] = near[b, a] = True
+    rows, roots = local_forest(near)
+    assert dict(zip(rows.tolist(), roots.tolist())) == {3: 0, 5: 0, 4: 2}
+
+
+# --- top-k ---------------------------------------------------------------------------------------
+
+
+def plain_top(rows, k, every):
+    usable = [(i, [int(np.floor(64 * float(np.float32(x)))) for x in v]) for i, v, _ in rows
+              if i is not None and v is not None
+              and all(x is not None and np.isfinite(x) for x in v)]
+    queries = {}
+    for i, v in usable:
+        if i % every == 0:
+            queries[i] = min(queries.get(i, v), v)
+    result = []
+    for q, v in queries.items():
+        scored = [(-sum(a * b for a, b in zip(v, w)), i) for i, w in usable
+                  if i != q and len(w) == len(v)]
+        result += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
+    return sorted(result)
+
+
+@pytest.mark.parametrize("k", [1, 3, 50])
+def test_top_k_of_awkward_rows(spark, k):
+    rows = [r for r in AWKWARD if r[0] != 20] + [(20, [0.5, -3, 2], None), (0, [], None),
+                                                 (60, [-1, -1, -1], 4), (60, [-1, -1, -1], 4)]
+    df = vectors(spark, rows).withColumn("rank", F.lit(7)).withColumn("q", F.lit("x"))
+    got = sorted(tuple(r) for r in bitslice.top_k(df, k=k).collect())
+    assert got == plain_top(rows, k, 20)
+    assert bitslice.top_k(df.limit(0)).count() == 0
+
+
+def test_top_k_over_several_blocks_with_ties(spark):
+    rng = np.random.default_rng(5)
+    rows = [(n, rng.integers(-2, 3, 4) / 64, None) for n in range(400)]  # many equal scores
+    got = sorted(tuple(r) for r in bitslice.top_k(
+        vectors(spark, rows), k=7, block_rows=90, query_rows=6).collect())
+    assert got == plain_top(rows, 7, 20)
+
+
+@pytest.mark.parametrize("value", [0, 1, -1, 7, -8, 100, -127, 12345])
+def test_signed_digits(value):
+    digits = bitslice.signed_digits(value)
+    assert sum(sign << position for position, sign in digits) == value
+    assert all(b - a > 1 for (a, _), (b, _) in zip(digits, digits[1:]))
+
+
+def test_score_slices_add_up():
+    rng = np.random.default_rng(2)
+    values = rng.integers(-90, 90, (130, 10))
+    index = bitslice.SlicedIndex(np.arange(130), values)
+    query = rng.integers(-60, 60, 10)
+    ids, scores = index.best(query, None, 130)
+    assert dict(zip(ids.tolist(), scores.tolist())) == dict(enumerate((values @ query).tolist()))
