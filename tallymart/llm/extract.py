@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymart.workspace import scratch_dir, write_and_read
+
 # Elements whose content is no text at all; it ends at their end tag only.
 RAW = frozenset("script style noscript template svg math iframe object canvas textarea "
                 "title select xmp noembed noframes".split())
@@ -63,6 +65,8 @@ ATTRIBUTE = re.compile(
     r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 WORDS = re.compile(r"[a-z]+")
 
+BROADCAST_HOSTS = 50_000  # rows of the table of winners that may be broadcast
+SALTS = 64  # parts of a host's pages beyond that
 VOTES = 3  # containers that a page votes for
 MIN_SCORE = 1.0
 
@@ -300,6 +304,19 @@ def winning_paths(counted: DataFrame) -> DataFrame:
     return counted.withColumn("n", F.row_number().over(best)).where("n = 1").select("host", "path")
 
 
+def with_path(located: DataFrame, winners: DataFrame) -> DataFrame:
+    """Rows of ``located`` with the path of their host, if it has one.
+
+    A table of few hosts is broadcast and no page is moved. Otherwise both sides are shuffled by
+    host and salt: each host's one row is repeated for every salt, its pages are dealt over them.
+    """
+    if winners.count() <= BROADCAST_HOSTS:
+        return located.join(F.broadcast(winners), "host", "left")
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
+    repeated = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return located.withColumn("salt", salt).join(repeated, ["host", "salt"], "left").drop("salt")
+
+
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars and path of every page.
 
@@ -308,10 +325,10 @@ def extract(pages: DataFrame) -> DataFrame:
     any text outside boilerplate give an empty text; repeated rows give equal rows; an empty table
     gives an empty result; further columns are ignored.
     """
-    winners = winning_paths(votes(pages))
+    winners = write_and_read(winning_paths(votes(pages)),
+                             scratch_dir(pages.sparkSession, "extract/winners"))
     slim = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    # The left side keeps its rows whatever the size of the winners; AQE splits a hot host.
-    located = slim.join(winners, "host", "left").select("page_id", "url", "html", "path")
+    located = with_path(slim, winners).select("page_id", "url", "html", "path")
 
     @F.pandas_udf("text string, path string")
     def main_text(sources: pd.Series, paths: pd.Series) -> pd.DataFrame:
