@@ -1,13 +1,15 @@
 """Write, audit, publish: marts go live together, and only if every check passes.
 
-Each run writes its marts to a folder of its own. Going live is one appended line in the
-publication log; readers follow the newest line. A failed run appends nothing, so the last good
-version stays live, and no reader ever sees a half-written mart.
+Every attempt of a run writes its marts to a folder that no other attempt uses. Going live is one
+appended line in the publication log, which names that folder; readers follow the newest line. A
+failed attempt appends nothing, whatever its run id, so the last good version stays live, and no
+reader ever sees a half-written mart. Folders that no line names can be deleted.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -21,38 +23,42 @@ from tallymart.sources.exchange import export_parquet, write_json
 from tallymart.sources.landing import append_load_report, load_raw, read_raw
 from tallymart.workspace import side_by_side
 
-LOG_SCHEMA = "run_id string, published_at timestamp_ntz"
+LOG_SCHEMA = "version bigint, run_id string, folder string, published_at timestamp_ntz"
 
 
 class GateClosed(Exception):
-    """Checks failed; ``failures`` lists them and nothing was published."""
+    """Checks failed; ``failures`` lists them and nothing was published.
 
-    def __init__(self, run_id: str, failures: list[str]):
+    ``folder`` holds the marts and the report of the rejected attempt.
+    """
+
+    def __init__(self, run_id: str, folder: str, failures: list[str]):
         super().__init__(f"run {run_id} is not published: {'; '.join(failures)}")
+        self.folder = folder
         self.failures = failures
 
 
-def mart_path(root: str, run_id: str, mart: str) -> str:
-    return f"{root.rstrip('/')}/runs/{run_id}/{mart}"
+def mart_path(root: str, folder: str, mart: str) -> str:
+    return f"{root.rstrip('/')}/runs/{folder}/{mart}"
 
 
-def write_marts(layers: Layers, root: str, run_id: str) -> dict[str, DataFrame]:
-    """Write the marts of a run and read them back.
+def write_marts(layers: Layers, root: str, folder: str) -> dict[str, DataFrame]:
+    """Write the marts of an attempt and read them back.
 
     The order fact is written first and the daily, finance and customer marts are built from the
     written table, so the line table is rolled up once.
     """
     spark = layers.fct_orders.sparkSession
-    run_dir = mart_path(root, run_id, "").rstrip("/")
+    run_dir = mart_path(root, folder, "").rstrip("/")
     export_parquet({"fct_orders": layers.fct_orders}, run_dir)
-    orders = spark.read.parquet(mart_path(root, run_id, "fct_orders"))
+    orders = spark.read.parquet(mart_path(root, folder, "fct_orders"))
     built = Layers(layers.raw, written_orders=orders)
     export_parquet({m: built.mart(m) for m in MARTS if m != "fct_orders"}, run_dir)
-    return read_run(spark, root, run_id)
+    return read_run(spark, root, folder)
 
 
-def read_run(spark: SparkSession, root: str, run_id: str) -> dict[str, DataFrame]:
-    return {m: spark.read.parquet(mart_path(root, run_id, m)) for m in MARTS}
+def read_run(spark: SparkSession, root: str, folder: str) -> dict[str, DataFrame]:
+    return {m: spark.read.parquet(mart_path(root, folder, m)) for m in MARTS}
 
 
 def audit(layers: Layers, marts: dict[str, DataFrame], bands: Bands = Bands()) -> DataFrame:
@@ -85,40 +91,51 @@ def publish(
 ) -> DataFrame:
     """Write the marts, check them, and make them live; returns the quality report.
 
-    Raises :class:`GateClosed` if any check fails.
+    Raises :class:`GateClosed` if any check fails. One publisher writes to a root at a time.
     """
-    marts = write_marts(layers, root, run_id)
+    folder = f"{run_id}/{uuid.uuid4().hex}"
+    marts = write_marts(layers, root, folder)
     report = audit(layers, marts, bands)
-    write_json(report, mart_path(root, run_id, "_quality_report"))
+    write_json(report, mart_path(root, folder, "_quality_report"))
     spark = report.sparkSession
     if not gate_summary(report).first()["gate_open"]:
         failed = report.filter(~F.col("success")).collect()
-        raise GateClosed(
-            run_id, [f"{r.table_name}.{r.column_name} {r.check_name}" for r in failed]
-        )
-    line = spark.createDataFrame([(run_id, now)], LOG_SCHEMA)
+        raise GateClosed(run_id, folder, [
+            f"{r.table_name}.{r.column_name} {r.check_name}" for r in failed])
+    newest = _newest(spark, root)
+    version = newest["version"] + 1 if newest else 1
+    line = spark.createDataFrame([(version, run_id, folder, now)], LOG_SCHEMA)
     line.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/published")
     return report
 
 
-def live_run(spark: SparkSession, root: str) -> str | None:
-    """The run readers should use, or None before the first publication."""
+def _newest(spark: SparkSession, root: str):
     try:
         log = spark.read.schema(LOG_SCHEMA).json(f"{root.rstrip('/')}/published")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    newest = log.orderBy(F.desc("published_at"), F.desc("run_id")).first()
+    return log.orderBy(F.desc("version")).first()
+
+
+def live_run(spark: SparkSession, root: str) -> str | None:
+    """The run readers should use, or None before the first publication."""
+    newest = _newest(spark, root)
     return newest["run_id"] if newest else None
 
 
+def live_folder(spark: SparkSession, root: str) -> str:
+    """The folder of the live marts."""
+    newest = _newest(spark, root)
+    if newest is None:
+        raise LookupError(f"nothing is published under {root}")
+    return newest["folder"]
+
+
 def live_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The published marts."""
-    run_id = live_run(spark, root)
-    if run_id is None:
-        raise LookupError(f"nothing is published under {root}")
-    return read_run(spark, root, run_id)
+    return read_run(spark, root, live_folder(spark, root))
 
 
 def attach_marts(spark: SparkSession, root: str, database: str = "main_marts") -> list[str]:
@@ -126,12 +143,10 @@ def attach_marts(spark: SparkSession, root: str, database: str = "main_marts") -
 
     Called after a publication; a view reads files and gives nobody a way to write them.
     """
-    run_id = live_run(spark, root)
-    if run_id is None:
-        raise LookupError(f"nothing is published under {root}")
+    folder = live_folder(spark, root)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for mart in MARTS:
-        path = mart_path(root, run_id, mart)
+        path = mart_path(root, folder, mart)
         spark.sql(f"CREATE OR REPLACE VIEW {database}.{mart} AS SELECT * FROM parquet.`{path}`")
     return [f"{database}.{mart}" for mart in MARTS]
 

@@ -70,7 +70,15 @@ def test_a_closed_gate_keeps_the_last_good_version(spark, sf_medium, tmp_path):
     assert "stg_order_items.sale_price rule:non_negative_price" in closed.value.failures
     assert live_run(spark, root) == "good"
     assert fingerprint(live_marts(spark, root)["fct_orders"]) == before
-    assert fingerprint(read_run(spark, root, "bad")["fct_orders"]) != before
+    assert fingerprint(read_run(spark, root, closed.value.folder)["fct_orders"]) != before
+
+    # A retry under the id of the live run touches nothing that readers see either.
+    live = {m: fingerprint(df) for m, df in live_marts(spark, root).items()}
+    with pytest.raises(GateClosed):
+        publish(Layers(broken), root, "good", NOW, TEST_BANDS)
+    assert {m: fingerprint(df) for m, df in live_marts(spark, root).items()} == live
+    publish(layers, root, "good", NOW, TEST_BANDS)
+    assert {m: fingerprint(df) for m, df in live_marts(spark, root).items()} == live
 
 
 def test_contract_violations_are_reported(spark, sf_medium):
