@@ -1,7 +1,12 @@
-"""Typed, trimmed, UTC views over the raw tables. Every function keeps one row per input row."""
+"""Typed, trimmed, UTC views over the raw tables.
+
+Every function lists the columns of one view; :data:`STAGING` selects them.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +17,10 @@ def _id(name: str) -> Column:
     return F.col(name).cast("bigint")
 
 
+def _key(name: str) -> Column:
+    return F.col(name).cast("string")
+
+
 def _int(name: str) -> Column:
     return F.col(name).cast("int")
 
@@ -28,31 +37,31 @@ def _naive(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz")
 
 
-def stg_distribution_centers(raw: DataFrame) -> DataFrame:
-    return raw.select(
+def distribution_centers() -> list[Column]:
+    return [
         _id("id").alias("distribution_center_id"),
         _text("name").alias("distribution_center_name"),
         _number("latitude").alias("latitude"),
         _number("longitude").alias("longitude"),
-    )
+    ]
 
 
-def stg_products(raw: DataFrame) -> DataFrame:
+def products() -> list[Column]:
     """Catalogue with the unit margin worked out once."""
     texts = {"product_name": "name", "brand": "brand", "category": "category",
              "department": "department", "sku": "sku"}
-    return raw.select(
+    return [
         _id("id").alias("product_id"),
         *[_text(source).alias(target) for target, source in texts.items()],
         _number("cost").alias("cost"),
         _number("retail_price").alias("retail_price"),
         (_number("retail_price") - _number("cost")).alias("unit_margin"),
         _id("distribution_center_id").alias("distribution_center_id"),
-    )
+    ]
 
 
-def stg_users(raw: DataFrame) -> DataFrame:
-    return raw.select(
+def users() -> list[Column]:
+    return [
         _id("id").alias("user_id"),
         _text("first_name").alias("first_name"),
         _text("last_name").alias("last_name"),
@@ -63,10 +72,10 @@ def stg_users(raw: DataFrame) -> DataFrame:
         _number("longitude").alias("longitude"),
         _text("traffic_source").alias("traffic_source"),
         to_utc(F.col("created_at")).alias("created_at"),
-    )
+    ]
 
 
-def stg_orders(raw: DataFrame) -> DataFrame:
+def orders() -> list[Column]:
     """Order headers.
 
     ``created_at`` carries an offset and is normalised; the lifecycle timestamps are naive UTC
@@ -74,7 +83,7 @@ def stg_orders(raw: DataFrame) -> DataFrame:
     as delivered: a padded status is trimmed in ``status`` but raises no flag.
     """
     delivered_status = F.col("status")
-    return raw.select(
+    return [
         _id("order_id").alias("order_id"),
         _id("user_id").alias("user_id"),
         _text("status").alias("status"),
@@ -84,27 +93,28 @@ def stg_orders(raw: DataFrame) -> DataFrame:
         *[_naive(c).alias(c) for c in ("shipped_at", "delivered_at", "returned_at")],
         (delivered_status == "Returned").alias("is_returned"),
         (delivered_status == "Cancelled").alias("is_cancelled"),
-    )
+    ]
 
 
-def stg_order_items(raw: DataFrame) -> DataFrame:
+def order_items() -> list[Column]:
     """Order lines; ``sale_price`` is the price actually paid."""
     stamps = ("created_at", "shipped_at", "delivered_at", "returned_at")
-    return raw.select(
-        _id("id").alias("order_item_id"),
-        *[_id(c).alias(c) for c in ("order_id", "user_id", "product_id", "inventory_item_id")],
+    return [
+        _key("id").alias("order_item_id"),
+        *[_id(c).alias(c) for c in ("order_id", "user_id", "product_id")],
+        _key("inventory_item_id").alias("inventory_item_id"),
         _text("status").alias("status"),
         _number("sale_price").alias("sale_price"),
         *[to_utc(F.col(c)).alias(c) for c in stamps],
-    )
+    ]
 
 
-def stg_inventory_items(raw: DataFrame) -> DataFrame:
+def inventory_items() -> list[Column]:
     """Stock units; ``sold_at`` is NULL while the unit is in stock."""
     texts = ("product_category", "product_name", "product_brand", "product_department",
              "product_sku")
-    return raw.select(
-        _id("id").alias("inventory_item_id"),
+    return [
+        _key("id").alias("inventory_item_id"),
         _id("product_id").alias("product_id"),
         _id("product_distribution_center_id").alias("distribution_center_id"),
         *[_text(c).alias(c) for c in texts],
@@ -112,13 +122,13 @@ def stg_inventory_items(raw: DataFrame) -> DataFrame:
         _number("product_retail_price").alias("retail_price"),
         to_utc(F.col("created_at")).alias("created_at"),
         to_utc(F.col("sold_at")).alias("sold_at"),
-    )
+    ]
 
 
-def stg_events(raw: DataFrame) -> DataFrame:
+def events() -> list[Column]:
     """Clickstream. ``user_id`` arrives as a nullable double; halves round to even."""
     texts = ("event_type", "traffic_source", "browser", "uri", "city", "state", "postal_code")
-    return raw.select(
+    return [
         _id("id").alias("event_id"),
         F.bround(F.col("user_id")).cast("bigint").alias("user_id"),
         _text("session_id").alias("session_id"),
@@ -126,15 +136,30 @@ def stg_events(raw: DataFrame) -> DataFrame:
         *[_text(c).alias(c) for c in texts],
         F.col("ip_address"),
         to_utc(F.col("created_at")).alias("created_at"),
-    )
+    ]
 
 
-STAGING = {
-    "distribution_centers": stg_distribution_centers,
-    "products": stg_products,
-    "users": stg_users,
-    "orders": stg_orders,
-    "order_items": stg_order_items,
-    "inventory_items": stg_inventory_items,
-    "events": stg_events,
+COLUMNS: dict[str, Callable[[], list[Column]]] = {
+    f.__name__: f
+    for f in (distribution_centers, products, users, orders, order_items, inventory_items, events)
 }
+
+
+def _view(table: str) -> Callable[[DataFrame], DataFrame]:
+    def stage(raw: DataFrame) -> DataFrame:
+        return raw.select(*COLUMNS[table]())
+
+    return stage
+
+
+# Table -> its staging view, which keeps one row per input row.
+STAGING = {table: _view(table) for table in COLUMNS}
+
+
+def raw_alias(column: str) -> str:
+    return f"raw_{column}"
+
+
+def beside_raw(table: str, raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The staging view with some raw columns beside it, so that one pass can judge both."""
+    return raw.select(*COLUMNS[table](), *[F.col(c).alias(raw_alias(c)) for c in columns])

@@ -1,8 +1,15 @@
-"""Landing of CSV drops as raw Parquet tables with audit columns."""
+"""Landing of CSV drops as raw Parquet tables with audit columns.
+
+A load writes its tables to a batch folder of its own. When all of them are in, one appended entry
+per load says which tables the batch replaces; readers follow the newest entry of each table. A load
+that fails appends nothing, so the tables before it stay readable and consistent with each other.
+Batch folders that no newest entry names can be deleted.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from functools import partial
 
 from pyspark.errors import AnalysisException
@@ -14,6 +21,7 @@ from tallymart.functions.timestamps import naive_literal
 from tallymart.specs import RAW_TABLES
 from tallymart.workspace import side_by_side
 
+CURRENT_SCHEMA = "version bigint, batch string, tables array<string>"
 LOAD_REPORT_SCHEMA = "table_name string, rows bigint, status string, loaded_at timestamp_ntz"
 
 
@@ -25,15 +33,17 @@ class MissingColumn(Exception):
     """A declared column is not in the header of the file."""
 
 
-def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str, multiline: bool = False) -> DataFrame:
     """A CSV file (or folder of part files) with a header, read with declared types.
 
     Columns are matched by name; columns beyond the declared ones are landed as text. Types are
     declared, not sniffed: a postal code keeps its leading zero, and a value that does not fit
     fails the load, as does a part file with another header. Timestamps without an offset in an
-    instant column are UTC.
+    instant column are UTC. With ``multiline`` quoted fields may hold line breaks; one task then
+    reads each file from end to end.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
+    reader = (spark.read.option("header", True).option("escape", '"')
+              .option("multiLine", multiline))
     declared = {field.name: field for field in T.StructType.fromDDL(schema)}
     header = reader.csv(path).columns
     if missing := declared.keys() - set(header):
@@ -48,25 +58,29 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def with_audit(raw: DataFrame, loaded_at: dt.datetime) -> DataFrame:
-    """Add when the batch was landed (naive UTC, whole seconds) and each row's file name."""
+def with_audit(raw: DataFrame, loaded_at: dt.datetime, source_file: str) -> DataFrame:
+    """Add when the batch was landed (naive UTC, whole seconds), the drop file each row comes from,
+    and the part of it where the drop is a folder."""
     return raw.select(
         "*",
         naive_literal(loaded_at.replace(microsecond=0)).alias("_loaded_at"),
-        F.col("_metadata.file_name").alias("_source_file"),
+        F.lit(source_file).alias("_source_file"),
+        F.col("_metadata.file_name").alias("_source_part"),
     )
 
 
 def load_table(
     spark: SparkSession, csv_path: str, table: str, target: str, loaded_at: dt.datetime
 ) -> int:
-    """Replace one raw table by its CSV; returns the number of rows landed.
+    """Land one CSV in ``target``; returns the number of rows landed.
 
     The count is taken from the footers of the landed files, so a task that was repeated after an
     executor loss is not counted twice.
     """
-    raw = read_csv(spark, csv_path, RAW_TABLES[table].schema)
-    with_audit(raw, loaded_at).write.mode("overwrite").parquet(target)
+    spec = RAW_TABLES[table]
+    raw = read_csv(spark, csv_path, spec.schema, spec.multiline)
+    source_file = csv_path.rstrip("/").rsplit("/", 1)[-1]
+    with_audit(raw, loaded_at, source_file).write.mode("error").parquet(target)
     return spark.read.parquet(target).count()
 
 
@@ -89,8 +103,10 @@ def load_raw(
 ) -> DataFrame:
     """Land every expected ``<table>.csv``; returns the load report.
 
-    Missing files are reported as skipped, or abort the load before anything is replaced in strict
-    mode. Landing the same files again gives the same tables.
+    Missing files are reported as skipped, or abort the load before anything is written in strict
+    mode; a skipped table stays as it was. All tables of the load are replaced together, after the
+    last one is in. Landing the same files again gives the same tables. One load writes to a folder
+    at a time.
     """
     if not _exists(spark, source_dir):
         raise MissingSource(f"source folder not found: {source_dir}")
@@ -100,10 +116,14 @@ def load_raw(
         raise MissingSource(f"expected tables without a file: {', '.join(missing)}")
     stamp = loaded_at.replace(microsecond=0)
     present = [name for name in paths if name not in missing]
+    batch = uuid.uuid4().hex
     landed = dict(zip(present, side_by_side(
-        partial(load_table, spark, paths[name], name, raw_table_path(raw_dir, name), stamp)
+        partial(load_table, spark, paths[name], name, batch_path(raw_dir, batch, name), stamp)
         for name in present
     )))
+    version = max((entry["version"] for entry in _entries(spark, raw_dir)), default=0) + 1
+    spark.createDataFrame([(version, batch, present)], CURRENT_SCHEMA).coalesce(1).write.mode(
+        "append").json(f"{raw_dir.rstrip('/')}/_current")
     report = [
         (name, landed[name], "loaded", stamp) if name in landed else (name, None, "skipped", None)
         for name in paths
@@ -111,27 +131,43 @@ def load_raw(
     return spark.createDataFrame(report, LOAD_REPORT_SCHEMA)
 
 
-def raw_table_path(raw_dir: str, table: str) -> str:
-    return f"{raw_dir.rstrip('/')}/{table}"
+def batch_path(raw_dir: str, batch: str, table: str) -> str:
+    return f"{raw_dir.rstrip('/')}/batches/{batch}/{table}"
+
+
+def _entries(spark: SparkSession, raw_dir: str) -> list:
+    """One entry per load, oldest first."""
+    path = f"{raw_dir.rstrip('/')}/_current"
+    if not _exists(spark, path):
+        return []
+    return spark.read.schema(CURRENT_SCHEMA).json(path).orderBy("version").collect()
 
 
 def read_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
     """The landed raw tables that exist."""
-    return {
-        name: spark.read.parquet(raw_table_path(raw_dir, name))
-        for name in RAW_TABLES
-        if _exists(spark, raw_table_path(raw_dir, name))
-    }
+    batches = {table: entry["batch"] for entry in _entries(spark, raw_dir)
+               for table in entry["tables"]}
+    return {name: spark.read.parquet(batch_path(raw_dir, batches[name], name))
+            for name in RAW_TABLES if name in batches}
 
 
 def append_load_report(report: DataFrame, run_id: str, log_dir: str) -> None:
-    """Keep the report of one run in the health log."""
-    report.withColumn("run_id", F.lit(run_id)).coalesce(1).write.mode("append").parquet(log_dir)
+    """Keep the report of one load of a run in the health log."""
+    reported_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    report.withColumns({
+        "run_id": F.lit(run_id), "reported_at": naive_literal(reported_at),
+    }).coalesce(1).write.mode("append").parquet(log_dir)
 
 
 def load_health(log: DataFrame) -> DataFrame:
-    """Rows and tables per run, with the change against the run before."""
-    runs = log.groupBy("run_id").agg(
+    """Rows and tables per run, with the change against the run before.
+
+    Of a run that was repeated, the last report of each table counts.
+    """
+    latest = log.groupBy("run_id", "table_name").agg(
+        F.max_by(F.struct("rows", "status", "loaded_at"), "reported_at").alias("last")
+    ).select("run_id", "last.*")
+    runs = latest.groupBy("run_id").agg(
         F.max("loaded_at").alias("loaded_at"),
         F.sum("rows").alias("rows"),
         F.count_if(F.col("status") == "loaded").alias("tables_loaded"),

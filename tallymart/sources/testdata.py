@@ -2,8 +2,7 @@
 
 Stand-in for a commerce system: the mapping is deterministic and keeps the guarantees a real feed
 has (line status equals order status, lifecycle timestamps follow the status, price >= cost).
-The packed line id holds while part and supplier keys stay under 10^6 and 10^5; beyond that the
-arithmetic fails loudly under ANSI mode instead of wrapping.
+A line's id is text made of its four keys, so that ids of different lines never meet.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallymart.functions.timestamps import utc_instant
 from tallymart.specs import RAW_TABLES
+from tallymart.workspace import scratch_dir, write_and_read
 
 _HOUR_US = 3_600_000_000
 _DAY_US = 24 * _HOUR_US
@@ -33,8 +33,7 @@ _STATUS = """
          WHEN o_orderstatus = 'P' THEN if(o_orderpriority = '5-LOW', 'Cancelled', 'Processing')
     END"""
 
-_LINE_ID = """
-    ((order_id * 10 + l_linenumber) * 1000000 + l_partkey) * 100000 + l_suppkey"""
+_LINE_ID = "concat_ws('-', order_id, l_linenumber, l_partkey, l_suppkey)"
 
 
 class TestTables(Mapping):
@@ -50,6 +49,7 @@ class TestTables(Mapping):
         self._directory = directory.rstrip("/")
         self._tables: dict[str, DataFrame] = {}
         self._frames: dict[str, DataFrame] = {}
+        self._written_lines: DataFrame | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in RAW_TABLES:
@@ -158,9 +158,21 @@ class TestTables(Mapping):
             "cast(coalesce(n_lines, 0) AS int) AS num_of_item",
         )
 
+    def with_written_lines(self, name: str) -> TestTables:
+        """The same tables over a written join of lines and headers, which order_items and
+        inventory_items share."""
+        tables = type(self)(self._spark, self._directory)
+        lines = self._lines().select(
+            "order_id", "user_id", "status", "placed", "shipped", "delivered", "returned",
+            "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+        tables._written_lines = write_and_read(lines, scratch_dir(self._spark, f"{name}/lines"))
+        return tables
+
     def _lines(self) -> DataFrame:
         """Line items with their order header; keyed on ``order_id`` from the join on, so a later
         grouping or join by order reuses the partitioning."""
+        if self._written_lines is not None:
+            return self._written_lines
         return (
             self.read("lineitem").withColumnRenamed("l_orderkey", "order_id")
             .join(self._headers(), "order_id")

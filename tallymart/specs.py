@@ -32,11 +32,15 @@ class TableSpec:
     key: str
     references: tuple[Reference, ...] = ()
     accepted: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    # The staged column that holds the key, value for value.
+    staged_key: str = ""
+    # Quoted fields may hold line breaks; such a file cannot be split between tasks.
+    multiline: bool = False
     warn_after_hours: int = WARN_AFTER_HOURS
     error_after_hours: int = ERROR_AFTER_HOURS
 
 
-# Ids are 64-bit: line and event ids pass 2^31 long before the data reaches 100 TB.
+# Ids are 64-bit; ids of lines and stock units are text, as systems make them from several keys.
 # ``timestamp`` columns carry an offset in the source text, ``timestamp_ntz`` columns are naive UTC.
 RAW_TABLES: dict[str, TableSpec] = {
     spec.name: spec
@@ -46,6 +50,7 @@ RAW_TABLES: dict[str, TableSpec] = {
             "Fulfilment centres that products ship from.",
             "id bigint, name string, latitude double, longitude double",
             key="id",
+            staged_key="distribution_center_id",
         ),
         TableSpec(
             "products",
@@ -56,6 +61,7 @@ RAW_TABLES: dict[str, TableSpec] = {
                 "distribution_center_id bigint"
             ),
             key="id",
+            staged_key="product_id",
             references=(Reference("distribution_center_id", "distribution_centers", "id"),),
         ),
         TableSpec(
@@ -68,6 +74,7 @@ RAW_TABLES: dict[str, TableSpec] = {
                 "traffic_source string, created_at timestamp"
             ),
             key="id",
+            staged_key="user_id",
         ),
         TableSpec(
             "orders",
@@ -78,6 +85,7 @@ RAW_TABLES: dict[str, TableSpec] = {
                 "delivered_at timestamp_ntz, num_of_item int"
             ),
             key="order_id",
+            staged_key="order_id",
             references=(Reference("user_id", "users", "id"),),
             accepted={"status": ORDER_STATUSES},
         ),
@@ -85,25 +93,27 @@ RAW_TABLES: dict[str, TableSpec] = {
             "order_items",
             "Order lines, one row per product unit sold.",
             (
-                "id bigint, order_id bigint, user_id bigint, product_id bigint, "
-                "inventory_item_id bigint, status string, created_at timestamp, "
+                "id string, order_id bigint, user_id bigint, product_id bigint, "
+                "inventory_item_id string, status string, created_at timestamp, "
                 "shipped_at timestamp, delivered_at timestamp, returned_at timestamp, "
                 "sale_price double"
             ),
             key="id",
+            staged_key="order_item_id",
             references=(Reference("order_id", "orders", "order_id"),),
         ),
         TableSpec(
             "inventory_items",
             "Stock units; links products to sales.",
             (
-                "id bigint, product_id bigint, created_at timestamp, sold_at timestamp, "
+                "id string, product_id bigint, created_at timestamp, sold_at timestamp, "
                 "cost double, product_category string, product_name string, "
                 "product_brand string, product_retail_price double, "
                 "product_department string, product_sku string, "
                 "product_distribution_center_id bigint"
             ),
             key="id",
+            staged_key="inventory_item_id",
         ),
         TableSpec(
             "events",
@@ -115,6 +125,7 @@ RAW_TABLES: dict[str, TableSpec] = {
                 "event_type string"
             ),
             key="id",
+            staged_key="event_id",
         ),
     )
 }

@@ -111,6 +111,93 @@ def test_landing_again_replaces(spark, drop, tmp_path):
     assert read_raw(spark, raw_dir)["users"].count() == 2
 
 
+def test_a_failed_load_leaves_the_tables_readable(spark, drop, tmp_path):
+    raw_dir = str(tmp_path / "raw")
+    load_raw(spark, str(drop), raw_dir, AT, strict=True)
+    events, users = drop / "events.csv", drop / "users.csv"
+    events.write_text(events.read_text() + "x" + "," * 12 + "\n")
+    users.write_text(users.read_text() + "9" + "," * 14 + "\n")
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        load_raw(spark, str(drop), raw_dir, AT)
+    raw = read_raw(spark, raw_dir)
+    assert set(raw) == set(RAW_TABLES)
+    assert raw["users"].count() == 2 and raw["events"].count() == 0  # all or none
+
+
+def test_a_skipped_table_stays(spark, drop, tmp_path):
+    raw_dir = str(tmp_path / "raw")
+    load_raw(spark, str(drop), raw_dir, AT)
+    (drop / "users.csv").unlink()
+    load_raw(spark, str(drop), raw_dir, AT)
+    assert read_raw(spark, raw_dir)["users"].count() == 2
+
+
+def test_folder_drops_name_the_file_and_the_part(spark, sf_small, tmp_path):
+    write_csv_drop({"events": TestTables(spark, sf_small)["events"]}, str(tmp_path / "drop"))
+    load_raw(spark, str(tmp_path / "drop"), str(tmp_path / "raw"), AT)
+    rows = read_raw(spark, str(tmp_path / "raw"))["events"].select(
+        "_source_file", "_source_part").distinct().collect()
+    assert {r[0] for r in rows} == {"events.csv"} and all(r[1].startswith("part-") for r in rows)
+
+
+def test_quoted_line_breaks(spark, drop, monkeypatch, tmp_path):
+    from dataclasses import replace
+    path = drop / "distribution_centers.csv"
+    path.write_text(path.read_text() + '1,"two\nlines, ""quoted""",1.0,2.0\n2,plain,3.0,4.0\n')
+    schema = RAW_TABLES["distribution_centers"].schema
+    rows = read_csv(spark, str(path), schema, multiline=True).orderBy("id").collect()
+    assert [r.name for r in rows] == ['two\nlines, "quoted"', "plain"]
+    monkeypatch.setitem(RAW_TABLES, "distribution_centers", replace(
+        RAW_TABLES["distribution_centers"], multiline=True))
+    load_raw(spark, str(drop), str(tmp_path / "raw"), AT)
+    landed = read_raw(spark, str(tmp_path / "raw"))["distribution_centers"]
+    assert sorted(r.name for r in landed.collect()) == ["plain", 'two\nlines, "quoted"']
+
+
+def test_written_line_breaks_come_back(spark, tmp_path, monkeypatch):
+    from dataclasses import replace
+    frame = spark.createDataFrame(
+        [(1, 'a\nb\nc "d", e', 1.0, 2.0), (2, "plain", None, 0.5)],
+        RAW_TABLES["distribution_centers"].schema)
+    monkeypatch.setitem(RAW_TABLES, "distribution_centers", replace(
+        RAW_TABLES["distribution_centers"], multiline=True))
+    write_csv_drop({"distribution_centers": frame}, str(tmp_path / "drop"))
+    load_raw(spark, str(tmp_path / "drop"), str(tmp_path / "raw"), AT)
+    landed = read_raw(spark, str(tmp_path / "raw"))["distribution_centers"]
+    assert sorted(r.name for r in landed.collect()) == ['a\nb\nc "d", e', "plain"]
+
+
+def test_a_repeated_run_counts_once(spark, drop, tmp_path):
+    log, raw = str(tmp_path / "log"), str(tmp_path / "raw")
+    (drop / "events.csv").unlink()
+    for _ in range(2):
+        append_load_report(load_raw(spark, str(drop), raw, AT), "r0", log)
+    row = load_health(spark.read.parquet(log)).first()
+    assert (row.rows, row.tables_loaded, row.tables_skipped) == (2, 6, 1)
+
+
+def test_line_keys_never_meet(spark, tmp_path):
+    """Keys far beyond what any packed number could hold."""
+    big = 10 ** 10
+    lines = [(5, 1, 1_000_001, 1), (5, 2, 1, 1), (big, 1, 10 ** 9, 10 ** 8), (1, 11, 1, 1),
+             (11, 1, 1, 1)]
+    spark.createDataFrame(
+        [(o, p, s, n, 1.0) for o, n, p, s in lines],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(
+        [(o, 1, "O", dt.datetime(1995, 1, 1), "5-LOW") for o in {o for o, *_ in lines}],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, "
+        "o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            ids = {r.id for r in TestTables(spark, str(tmp_path))["order_items"].collect()}
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+        assert len(ids) == len(lines)
+
+
 def test_health_compares_runs(spark, drop, tmp_path):
     log = str(tmp_path / "log")
     for i, at in enumerate((AT, AT + dt.timedelta(days=1))):
@@ -126,7 +213,7 @@ def test_csv_round_trip_is_lossless(spark, sf_small, tmp_path):
     write_csv_drop(tables, str(tmp_path / "drop"))
     load_raw(spark, str(tmp_path / "drop"), str(tmp_path / "raw"), AT, strict=True)
     for name, landed in read_raw(spark, str(tmp_path / "raw")).items():
-        landed = landed.drop("_loaded_at", "_source_file")
+        landed = landed.drop("_loaded_at", "_source_file", "_source_part")
         original = tables[name]
         assert landed.columns == original.columns
         fingerprint = F.sum(F.xxhash64(*[F.col(c).cast("string") for c in landed.columns])

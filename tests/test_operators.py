@@ -15,15 +15,15 @@ def one(spark, table, **values):
 
 
 def test_padded_status_is_trimmed_but_raises_no_flag(spark):
-    row = staging.stg_orders(one(spark, "orders", order_id=1, status=" Returned")).first()
+    row = staging.STAGING["orders"](one(spark, "orders", order_id=1, status=" Returned")).first()
     assert row.status == "Returned"
     assert row.is_returned is False and row.is_cancelled is False
-    unknown = staging.stg_orders(one(spark, "orders", order_id=1)).first()
+    unknown = staging.STAGING["orders"](one(spark, "orders", order_id=1)).first()
     assert unknown.is_returned is None and unknown.shipped_at is None
 
 
 def test_users_are_normalised(spark):
-    row = staging.stg_users(one(
+    row = staging.STAGING["users"](one(
         spark, "users", id=1, email="  Ann@Example.COM ", postal_code=" 01234", first_name="\tAnn ",
     )).first()
     assert (row.email, row.postal_code) == ("ann@example.com", "01234")
@@ -32,14 +32,14 @@ def test_users_are_normalised(spark):
 
 def test_event_users_round_half_to_even_and_may_be_missing(spark):
     for raw, expected in ((2.7, 3), (2.5, 2), (None, None)):
-        assert staging.stg_events(one(spark, "events", id=1, user_id=raw)).first().user_id == expected
+        assert staging.STAGING["events"](one(spark, "events", id=1, user_id=raw)).first().user_id == expected
 
 
 def test_products_and_inventory(spark):
-    product = staging.stg_products(one(
+    product = staging.STAGING["products"](one(
         spark, "products", id=1, cost=4.0, retail_price=10.0, name=" hat ")).first()
     assert (product.unit_margin, product.product_name) == (6.0, "hat")
-    unit = staging.stg_inventory_items(one(
+    unit = staging.STAGING["inventory_items"](one(
         spark, "inventory_items", id=1, product_retail_price=9.0,
         product_distribution_center_id=3)).first()
     assert (unit.retail_price, unit.distribution_center_id, unit.sold_at) == (9.0, 3, None)
