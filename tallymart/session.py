@@ -22,34 +22,35 @@ STATIC_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 _INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 # One shuffle partition per this many input splits (128 MB each by default): the columns a query
-# keeps are a fraction of the files. The cap bounds the driver's map-output bookkeeping; past it
-# partitions grow, and sorts and hash aggregates spill.
+# keeps are a fraction of the files.
 SPLITS_PER_PARTITION = 4
-MAX_SHUFFLE_PARTITIONS = 20_000
 
 
-def tune(spark: SparkSession, largest: DataFrame | None = None) -> SparkSession:
-    """Apply the adaptive-execution settings to a session owned by the caller.
+def tune(spark: SparkSession, *inputs: DataFrame, ceiling: int | None = None) -> SparkSession:
+    """Apply the adaptive-execution settings to a session; call it once, before the first query.
 
-    Only runtime SQL settings are touched. Memory, cores and the session time zone stay with
-    whoever created the session; no operator here depends on the session time zone. Given the
-    ``largest`` input table, shuffles start with a number of partitions that follows its size
-    (never fewer than ``spark.sql.shuffle.partitions``); AQE merges those that stay small.
+    No query of this package changes the session. Only runtime SQL settings are touched: memory,
+    cores and the session time zone stay with whoever created the session. Given the ``inputs``
+    that the queries to come will read, shuffles start with a number of partitions that follows
+    their size (never fewer than ``spark.sql.shuffle.partitions``); AQE merges those that stay
+    small. ``ceiling`` bounds that number where the driver's map-output bookkeeping asks for it;
+    past it partitions grow, and sorts and hash aggregates spill.
     """
     for key, value in ADAPTIVE_CONF.items():
         spark.conf.set(key, value)
-    if largest is not None:
+    if inputs:
         spark.conf.set(_INITIAL_PARTITIONS, str(initial_partitions(
-            input_splits=largest.rdd.getNumPartitions(),
+            input_splits=sum(df.rdd.getNumPartitions() for df in inputs),
             configured=int(spark.conf.get("spark.sql.shuffle.partitions")),
+            ceiling=ceiling,
         )))
     return spark
 
 
-def initial_partitions(input_splits: int, configured: int) -> int:
-    """Shuffle partitions to start with for an input of so many splits."""
-    by_size = min(input_splits // SPLITS_PER_PARTITION, MAX_SHUFFLE_PARTITIONS)
-    return max(configured, by_size)
+def initial_partitions(input_splits: int, configured: int, ceiling: int | None = None) -> int:
+    """Shuffle partitions to start with for inputs of so many splits."""
+    by_size = input_splits // SPLITS_PER_PARTITION
+    return max(configured, by_size if ceiling is None else min(by_size, ceiling))
 
 
 def local_session(cpus: int | str = "*", app: str = "tallymart", **conf: str) -> SparkSession:

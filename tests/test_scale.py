@@ -8,12 +8,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
-from tallymart.session import MAX_SHUFFLE_PARTITIONS, initial_partitions
+from tallymart.plans.registry import registry
+from tallymart.session import initial_partitions, tune
 from tallymart.plans.layers import Layers
 from tallymart.sources.testdata import TestTables
 from tests.compare import TABLES, connect, difference
 
-QUERIES = entry_module.queries()
+QUERIES = registry()
 ORACLE = entry_module.oracle_sql()
 
 # Small thresholds make small data behave like large data.
@@ -28,13 +29,10 @@ LARGE = {
 
 
 @pytest.fixture
-def large(spark, monkeypatch):
+def large(spark):
     """The session with broadcasts off and skew splitting from 64 KB on."""
-    from tallymart import session
-
-    monkeypatch.setitem(
-        session.ADAPTIVE_CONF,
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64KB")
+    tune(spark)
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64KB")
     before = {key: spark.conf.get(key, None) for key in LARGE}
     for key, value in LARGE.items():
         spark.conf.set(key, value)
@@ -98,14 +96,15 @@ def test_a_hot_partition_is_split(large, hot, name):
 
 def test_a_hot_order_is_split_before_it_is_rolled_up(large, hot):
     df = Layers(TestTables(large, hot)).order_enriched
-    QUERIES["int_orders_enriched"](large, hot)  # applies the session settings
     df.collect()
     assert "skew=true" in plan_of(df)
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {
     "csv_scan", "raw_audit", "load_report", "load_health", "export_marts", "publish_gate",
-    "dashboard_payload", "quality_report", "defect_detection"}))
+    "dashboard_payload", "quality_report", "defect_detection", "export_warehouse",
+    "quality_report_json", "source_freshness", "dq_row_parity"}
+    - {name for name in QUERIES if name.startswith("faulty_")}))
 def test_plans_have_no_cross_join_and_no_python(spark, sf_small, name):
     plan = plan_of(QUERIES[name](spark, sf_small))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas", plan)
@@ -135,4 +134,21 @@ def test_product_sales_join_no_lines(spark, sf_small):
 def test_shuffle_parallelism_follows_the_input():
     assert initial_partitions(input_splits=8, configured=200) == 200
     assert initial_partitions(input_splits=8_000, configured=200) == 2_000
-    assert initial_partitions(input_splits=800_000, configured=200) == MAX_SHUFFLE_PARTITIONS
+    assert initial_partitions(input_splits=800_000, configured=200) == 200_000
+    assert initial_partitions(input_splits=800_000, configured=200, ceiling=50_000) == 50_000
+
+
+def test_queries_leave_the_session_alone(spark, sf_small):
+    before = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.")}
+    for name in ("fct_daily_kpis", "event_funnel_daily", "quality_report"):
+        QUERIES[name](spark, sf_small).collect()
+    after = {k: v for k, v in spark.conf.getAll.items() if k.startswith("spark.sql.")}
+    assert after == before
+
+
+def test_daily_customers_travel_without_money(spark, sf_small):
+    """Only (day, customer) is shuffled for the distinct count."""
+    plan = plan_of(Layers(TestTables(spark, sf_small)).fct_daily_kpis)
+    pairs = [line for line in plan.splitlines()
+             if "Exchange hashpartitioning(order_date" in line and "user_id" in line]
+    assert pairs and "Expand" not in plan
