@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 
 from tallymart.operators import enrichment, staging
 from tallymart.plans import marts
+from tallymart.sources.exchange import export_parquet
+from tallymart.specs import RAW_TABLES
 from tallymart.workspace import scratch_dir, write_and_read
 
 MARTS = ("fct_orders", "dim_customers", "dim_products", "fct_daily_kpis",
@@ -62,7 +64,7 @@ class Layers:
 
     @cached_property
     def fct_daily_kpis(self) -> DataFrame:
-        return marts.fct_daily_kpis(self.fct_orders, self._written_orders is not None)
+        return marts.fct_daily_kpis(self.fct_orders)
 
     @cached_property
     def fct_revenue_recognition(self) -> DataFrame:
@@ -77,3 +79,19 @@ class Layers:
         """The same layers over a written copy of the order fact."""
         path = scratch_dir(self.fct_orders.sparkSession, f"{name}/fct_orders")
         return Layers(self.raw, write_and_read(self.fct_orders, path))
+
+
+def export_all(layers: Layers, target: str) -> list[tuple[str, str]]:
+    """Export every table of the warehouse as ``<target>/<layer>/<table>``; returns their names.
+
+    All exports run as independent jobs, a few at a time.
+    """
+    tables = {
+        **{("raw", name): layers.raw[name] for name in RAW_TABLES},
+        **{("staging", f"stg_{name}"): layers.staged(name) for name in RAW_TABLES},
+        ("intermediate", "int_order_items_enriched"): layers.line_enriched,
+        ("intermediate", "int_orders_enriched"): layers.order_enriched,
+        **{("marts", name): layers.mart(name) for name in MARTS},
+    }
+    export_parquet({f"{layer}/{name}": frame for (layer, name), frame in tables.items()}, target)
+    return list(tables)

@@ -110,25 +110,22 @@ DAILY_COLUMNS = ("order_date", "total_orders", "net_orders", "active_customers",
                  *LADDER_SUMS, "aov", "refund_rate", "net_margin_rate")
 
 
-def fct_daily_kpis(orders: DataFrame, written: bool = False) -> DataFrame:
+def fct_daily_kpis(orders: DataFrame) -> DataFrame:
     """Headline KPIs, one row per UTC day that has orders.
 
-    Counting distinct customers beside the sums makes every sum travel with each (day, customer)
-    pair. For a ``written`` order fact, where a second scan of two columns is cheap, the pairs are
-    shuffled on their own and the sums leave each task combined to one row per day.
+    Counting distinct customers beside the sums would make every sum travel with each (day,
+    customer) pair. The pairs are shuffled on their own, from the order headers alone, and the sums
+    leave each task combined to one row per day.
     """
-    if written:
-        customers = (
-            orders.filter("is_net_order").select("order_date", "user_id").distinct()
-            .groupBy("order_date").agg(F.count("user_id").alias("active_customers"))
-        )
-        stacked = orders.groupBy("order_date").agg(*_additive_kpis()).unionByName(
-            customers, allowMissingColumns=True)
-        daily = stacked.groupBy("order_date").agg(
-            *[F.sum(c).alias(c) for c in stacked.columns if c != "order_date"]
-        ).withColumn("active_customers", F.coalesce("active_customers", F.lit(0)))
-    else:
-        daily = orders.groupBy("order_date").agg(*kpi_aggregates())
+    customers = (
+        orders.filter("is_net_order").select("order_date", "user_id").distinct()
+        .groupBy("order_date").agg(F.count("user_id").alias("active_customers"))
+    )
+    stacked = orders.groupBy("order_date").agg(*_additive_kpis()).unionByName(
+        customers, allowMissingColumns=True)
+    daily = stacked.groupBy("order_date").agg(
+        *[F.sum(c).alias(c) for c in stacked.columns if c != "order_date"]
+    ).withColumn("active_customers", F.coalesce("active_customers", F.lit(0)))
     return daily.withColumns(kpi_ratios()).select(*DAILY_COLUMNS)
 
 

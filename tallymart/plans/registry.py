@@ -13,14 +13,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.money import dollars
-from tallymart.functions.timestamps import naive_literal, to_utc
+from tallymart.functions.timestamps import to_utc
 from tallymart.governance.access import register_views, without_pii
 from tallymart.governance.publish import GateClosed, live_marts, publish, resolver
 from tallymart.operators.staging import STAGING
 from tallymart.plans import business, metrics
-from tallymart.plans.layers import MARTS, Layers
+from tallymart.plans.layers import MARTS, Layers, export_all
+from tallymart.plans.marts import dim_customers
 from tallymart.quality import consistency
 from tallymart.quality.checks import (
+    REPORT_SCHEMA,
+    Labelled,
     UniqueCheck,
     between,
     run_checks,
@@ -28,15 +31,19 @@ from tallymart.quality.checks import (
     union_reports,
 )
 from tallymart.quality.freshness import source_freshness
-from tallymart.quality.mutation import detect_defects
+from tallymart.quality.mutation import detect_defects, standard_defects
 from tallymart.quality.suites import (
+    DAY_RULES,
     Bands,
+    negative_prices,
+    offending_days,
     run_contracts,
     run_value_suites,
     singular_checks,
+    unreconciled_days,
     value_suites,
 )
-from tallymart.session import tune
+from tallymart.sources.dirty import DirtyTables, spoiled_daily, spoiled_recognition
 from tallymart.sources.exchange import export_parquet, write_csv_drop, write_json
 from tallymart.sources.landing import (
     append_load_report,
@@ -66,6 +73,8 @@ RATES = {
 TEST_BANDS = Bands(price_max=200_000, daily_net_max=50_000_000)
 # The batch time of the landing queries and the clock of the freshness query.
 BATCH_TIME = dt.datetime(2024, 2, 1, 6, 0, 0)
+# Early enough for customers without an order, with one and with several.
+SEGMENTS_AS_OF = dt.date(1996, 1, 1)
 # Hours since each table was landed: within, on and beyond both thresholds.
 LANDED_HOURS_AGO = {
     "distribution_centers": 25, "products": 27, "users": 49, "orders": 26,
@@ -83,14 +92,8 @@ def rounded(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     ])
 
 
-def _tables(spark: SparkSession, directory: str) -> TestTables:
-    tables = TestTables(spark, directory)
-    tune(spark, largest=tables.read("lineitem"))
-    return tables
-
-
 def _layers(spark: SparkSession, directory: str) -> Layers:
-    return Layers(_tables(spark, directory))
+    return Layers(TestTables(spark, directory))
 
 
 def _over_layers(build: Callable[[Layers], DataFrame]) -> Query:
@@ -102,9 +105,20 @@ def _as_built(build: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, directory: build(_layers(spark, directory))
 
 
-def _over_written(name: str, build: Callable[[Layers], DataFrame]) -> Query:
-    """For queries that read several marts: the order fact is written once and shared."""
-    return lambda spark, directory: build(_layers(spark, directory).with_written_orders(name))
+def _over_written(
+    name: str, build: Callable[[Layers], DataFrame], tables: type[TestTables] = TestTables
+) -> Query:
+    """For queries that read several tables of lines and marts: the joined lines and the order fact
+    are written once and shared."""
+    def run(spark: SparkSession, directory: str) -> DataFrame:
+        raw = tables(spark, directory).with_written_lines(name)
+        return build(Layers(raw).with_written_orders(name))
+
+    return run
+
+
+def _over_faulty(name: str, build: Callable[[Layers], DataFrame]) -> Query:
+    return _over_written(f"faulty_{name}", build, DirtyTables)
 
 
 # --- sources and sinks ---------------------------------------------------------------------------
@@ -112,7 +126,7 @@ def _over_written(name: str, build: Callable[[Layers], DataFrame]) -> Query:
 
 def _dropped(spark: SparkSession, directory: str, name: str, tables: Sequence[str]) -> str:
     """A CSV drop of some raw tables in the scratch folder."""
-    raw = _tables(spark, directory)
+    raw = TestTables(spark, directory)
     target = scratch_dir(spark, f"{name}/drop")
     write_csv_drop({t: raw[t] for t in tables}, target)
     return target
@@ -135,7 +149,8 @@ def raw_audit(spark: SparkSession, directory: str) -> DataFrame:
             F.count("*").alias("rows"),
             F.min("_loaded_at").alias("first_loaded_at"),
             F.max("_loaded_at").alias("last_loaded_at"),
-            F.count_if(F.col("_source_file").endswith(".csv")).alias("rows_with_source"),
+            F.count_if((F.col("_source_file") == f"{name}.csv")
+                       & F.col("_source_part").endswith(".csv")).alias("rows_with_source"),
         ).select(F.lit(name).alias("table_name"), "*")
         for name, frame in read_raw(spark, raw_dir).items()
     ])
@@ -148,19 +163,40 @@ def load_report(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def load_health_log(spark: SparkSession, directory: str) -> DataFrame:
-    """Row counts of two runs over the catalogue and order tables; the others are skipped."""
-    drop = _dropped(spark, directory, "load_health", ["distribution_centers", "products",
-                                                      "orders", "events"])
+    """Row counts of two runs over all tables, the first of them repeated; the second one comes
+    without the cancelled orders."""
+    drop = _dropped(spark, directory, "load_health", list(RAW_TABLES))
     raw_dir, log = scratch_dir(spark, "load_health/raw"), scratch_dir(spark, "load_health/log")
-    schema = None
-    for day in range(2):
-        at = BATCH_TIME + dt.timedelta(days=day)
-        report = load_raw(spark, drop, raw_dir, at)
-        if day == 0:
-            schema = report.withColumn("run_id", F.lit("")).schema
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(log)
-        append_load_report(report, f"run-{day}", log)
-    return load_health(spark.read.schema(schema).parquet(log))
+    report = load_raw(spark, drop, raw_dir, BATCH_TIME)
+    append_load_report(report, "run-0", log)
+    append_load_report(report, "run-0", log)
+    orders = TestTables(spark, directory)["orders"].filter("status <> 'Cancelled'")
+    write_csv_drop({"orders": orders}, drop)
+    next_day = BATCH_TIME + dt.timedelta(days=1)
+    append_load_report(load_raw(spark, drop, raw_dir, next_day), "run-1", log)
+    return load_health(spark.read.parquet(log))
+
+
+def landed_by_age(spark: SparkSession, directory: str) -> DataFrame:
+    """Freshness of tables that were landed at different times."""
+    tables = TestTables(spark, directory)
+    drop, raw_dir = scratch_dir(spark, "freshness/drop"), scratch_dir(spark, "freshness/raw")
+    for name in RAW_TABLES:
+        write_csv_drop({name: tables[name]}, f"{drop}/{name}")
+        landed_at = BATCH_TIME - dt.timedelta(hours=LANDED_HOURS_AGO[name])
+        load_raw(spark, f"{drop}/{name}", raw_dir, landed_at)
+    return source_freshness(read_raw(spark, raw_dir), BATCH_TIME)
+
+
+def row_parity(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows of the landed tables against those of their staging views, which were written."""
+    drop = _dropped(spark, directory, "row_parity", list(RAW_TABLES))
+    raw_dir, out = scratch_dir(spark, "row_parity/raw"), scratch_dir(spark, "row_parity/staged")
+    load_raw(spark, drop, raw_dir, BATCH_TIME, strict=True)
+    raw = read_raw(spark, raw_dir)
+    export_parquet({name: STAGING[name](frame) for name, frame in raw.items()}, out)
+    return consistency.row_parity(
+        raw, {name: spark.read.parquet(f"{out}/{name}") for name in raw})
 
 
 def export_marts(spark: SparkSession, directory: str) -> DataFrame:
@@ -171,15 +207,58 @@ def export_marts(spark: SparkSession, directory: str) -> DataFrame:
     return _mart_rows({m: spark.read.parquet(f"{target}/{m}") for m in MARTS})
 
 
+# One column of every exported table, whose sum tells the content.
+CONTENT = {
+    "distribution_centers": "latitude", "products": "retail_price", "users": "age",
+    "orders": "num_of_item", "order_items": "sale_price", "inventory_items": "cost",
+    "events": "sequence_number", "int_order_items_enriched": "net_amount",
+    "int_orders_enriched": "num_of_item", "fct_orders": "gmv_amount",
+    "dim_customers": "lifetime_net_revenue", "dim_products": "net_revenue",
+    "fct_daily_kpis": "net_revenue", "fct_revenue_recognition": "recognized_revenue",
+}
+
+
+def export_warehouse(spark: SparkSession, directory: str) -> DataFrame:
+    """Rows and content of every exported table of every layer, read back from the export."""
+    raw = TestTables(spark, directory).with_written_lines("export_warehouse")
+    layers = Layers(raw).with_written_orders("export_warehouse")
+    target = scratch_dir(spark, "export_warehouse/out")
+    names = export_all(layers, target)
+    return union_reports([
+        spark.read.parquet(f"{target}/{layer}/{name}")
+        .agg(F.count("*").alias("rows"), F.round(F.sum(
+            F.col(CONTENT[name.removeprefix("stg_")]).cast("double")), 2).alias("content"))
+        .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "rows", "content")
+        for layer, name in names
+    ])
+
+
 def publish_gate(spark: SparkSession, directory: str) -> DataFrame:
-    """Rows per live mart after a gated publication; none if the gate stayed closed."""
+    """Rows and GMV of the live marts after a publication whose retry, under the same run id, came
+    with impossible prices; nothing if the first gate stayed closed."""
     layers = _layers(spark, directory)
     root = scratch_dir(spark, "publish_gate")
     try:
         publish(layers, root, "run-1", BATCH_TIME, TEST_BANDS)
     except GateClosed:
-        return spark.createDataFrame([], "mart string, rows bigint")
-    return _mart_rows(live_marts(spark, root))
+        return spark.createDataFrame([], "mart string, rows bigint, gmv double, retry string")
+    broken = dict(layers.raw.items())
+    broken["order_items"] = broken["order_items"].withColumn(
+        "sale_price", F.expr("if(order_id % 1000 = 7, -5000000D, sale_price)"))
+    try:
+        publish(Layers(broken), root, "run-1", BATCH_TIME, TEST_BANDS)
+        retry = "open"
+    except GateClosed:
+        retry = "closed"
+    totals = {"fct_orders": "gmv_amount", "fct_daily_kpis": "gmv"}
+    return union_reports([
+        frame.agg(
+            F.count("*").alias("rows"),
+            (dollars(F.sum(totals[name]), 2) if name in totals else F.lit(None).cast("double"))
+            .alias("gmv"),
+        ).select(F.lit(name).alias("mart"), "rows", "gmv", F.lit(retry).alias("retry"))
+        for name, frame in live_marts(spark, root).items()
+    ])
 
 
 def _mart_rows(marts: dict[str, DataFrame]) -> DataFrame:
@@ -191,7 +270,7 @@ def _mart_rows(marts: dict[str, DataFrame]) -> DataFrame:
 
 def offsets_to_utc(spark: SparkSession, directory: str) -> DataFrame:
     """Order times written with three different offsets, normalised to naive UTC."""
-    orders = _tables(spark, directory).read("orders")
+    orders = TestTables(spark, directory).read("orders")
     offset = F.expr("elt(cast(1 + o_orderkey % 3 AS int), '+00:00', '-05:00', '+05:30')")
     text = F.concat(F.col("o_orderdate").cast("string"), offset)
     return orders.select("o_orderkey", to_utc(text).alias("utc_time"))
@@ -200,12 +279,66 @@ def offsets_to_utc(spark: SparkSession, directory: str) -> DataFrame:
 # --- quality -------------------------------------------------------------------------------------
 
 
+CONTRACT_QUERIES = ("not_null", "unique", "accepted_values", "relationships")
+
+
+def _contracts(kind: str) -> Callable[[Layers], DataFrame]:
+    return lambda layers: run_contracts(resolver(layers), (kind,))
+
+
 def _contract_kind(kind: str) -> Query:
-    def build(layers: Layers) -> DataFrame:
-        return run_contracts(resolver(layers), (kind,))
+    # Only keys and NULL counts touch both tables of lines and several marts.
+    if kind in ("not_null", "unique"):
+        return _over_written(f"dq_{kind}", _contracts(kind))
+    return _as_built(_contracts(kind))
+
+
+def _spoiled(layers: Layers) -> dict[str, DataFrame]:
+    """The daily and finance marts with faults that no feed can bring about."""
+    return {"fct_daily_kpis": spoiled_daily(layers.fct_daily_kpis),
+            "fct_revenue_recognition": spoiled_recognition(layers.fct_revenue_recognition)}
+
 
-    # Only NULL checks look at the money of two marts; the others need keys and statuses alone.
-    return _over_written("dq_not_null", build) if kind == "not_null" else _as_built(build)
+def _faulty_rule(table: str, name: str) -> Query:
+    def build(layers: Layers) -> DataFrame:
+        checks = [c for c in value_suites()[table] if c.name == f"rule:{name}"]
+        return run_checks(_spoiled(layers)[table], table, checks, "values")
+
+    return _over_faulty(f"rule_{name}", build)
+
+
+def unreconciled(layers: Layers) -> DataFrame:
+    days = unreconciled_days(_spoiled(layers)["fct_revenue_recognition"])
+    return days.select("order_date", *[dollars(F.col(c), 2).alias(c) for c in (
+        "net_revenue_mgmt", "recon_check", "diff")])
+
+
+def faulty_queries() -> dict[str, Query]:
+    """The checks over a feed with faults, and the offending rows themselves."""
+    def singular(layers: Layers, table: str) -> DataFrame:
+        frame = _spoiled(layers).get(table)
+        if frame is None:
+            frame = resolver(layers)(table)
+        return run_checks(frame, table, singular_checks()[table], "singular")
+
+    builds: dict[str, Callable[[Layers], DataFrame]] = {
+        **{f"dq_{kind}": _contracts(kind) for kind in CONTRACT_QUERIES},
+        "dq_negative_price": lambda x: singular(x, "stg_order_items"),
+        "dq_revenue_reconciles": lambda x: singular(x, "fct_revenue_recognition"),
+        "dq_status_agreement":
+            lambda x: consistency.status_agreement(x.staged("order_items"), x.staged("orders")),
+        "dq_conditional_null": lambda x: consistency.conditional_nulls(x.staged("orders")),
+        "dq_price_ge_cost":
+            lambda x: consistency.price_covers_cost(x.staged("order_items"), x.staged("products")),
+        "dq_item_count":
+            lambda x: consistency.item_counts(x.staged("orders"), x.staged("order_items")),
+        "negative_price_rows": lambda x: negative_prices(x.staged("order_items")),
+        "unreconciled_days": unreconciled,
+        "offending_days": lambda x: offending_days(_spoiled(x).__getitem__),
+    }
+    rules = {f"rule_{name}": _faulty_rule(table, name) for name, (table, _) in DAY_RULES.items()}
+    return {f"faulty_{name}": query for name, query in {
+        **{name: _over_faulty(name, build) for name, build in builds.items()}, **rules}.items()}
 
 
 def _suite_rule(table: str, name: str) -> Query:
@@ -251,25 +384,25 @@ def ranges(layers: Layers) -> DataFrame:
 
 
 def tolerated_ranges(layers: Layers) -> DataFrame:
-    """The daily revenue band with a tolerance that holds and one that does not."""
-    bands = {"values": 2_500_000, "values_tight": 1_500_000}
-    checks = [(suite, between("net_revenue", 0, high, mostly=0.99))
+    """Price bands with a tolerance: one that holds although some lines lie outside, one that does
+    not."""
+    bands = {"values": 104_200, "values_tight": 90_000}
+    checks = [Labelled(suite, "stg_order_items", between("sale_price", 0, high, mostly=0.99))
               for suite, high in bands.items()]
-    return run_labelled(layers.fct_daily_kpis, "fct_daily_kpis", checks)
-
-
-def freshness(layers: Layers) -> DataFrame:
-    landed = {
-        name: frame.withColumn(
-            "_loaded_at",
-            naive_literal(BATCH_TIME - dt.timedelta(hours=LANDED_HOURS_AGO[name])))
-        for name, frame in layers.raw.items()
-    }
-    return source_freshness(landed, BATCH_TIME)
+    return run_labelled(layers.staged("order_items"), checks)
 
 
-def row_parity(layers: Layers) -> DataFrame:
-    return consistency.row_parity(layers.raw, {name: layers.staged(name) for name in RAW_TABLES})
+def defects_over_written(layers: Layers) -> DataFrame:
+    """Defect detection over written tables: each is read for its keys and for its checks."""
+    target = scratch_dir(layers.fct_orders.sparkSession, "defect_detection/tables")
+    tables = [d.table for d in standard_defects()]
+    frames = {name: resolver(layers)(name) for name in dict.fromkeys(tables)}
+    # The staged lines are a view of the written lines already.
+    export_parquet({n: f for n, f in frames.items() if not n.startswith("stg_")}, target)
+    spark = layers.fct_orders.sparkSession
+    return detect_defects(
+        lambda n: frames[n] if n.startswith("stg_") else spark.read.parquet(f"{target}/{n}"),
+        bands=TEST_BANDS)
 
 
 def role_view(role: str, subject: str) -> Query:
@@ -289,29 +422,47 @@ def dashboard_payload(spark: SparkSession, directory: str) -> DataFrame:
             layers.fct_orders, layers.fct_daily_kpis, layers.dim_products, layers.dim_customers),
         target,
     )
-    fields = F.from_json("record", "month string, category string, department string, "
-                         "traffic_source string, brand string, status string, orders bigint, "
-                         "net_revenue double, date_max string")
-    labels = ("month", "category", "department", "traffic_source", "brand", "status", "date_max")
+    amounts = ("net_revenue", "recognized_revenue", "gmv", "refunds")
+    rates = ("aov", "repeat_rate", "refund_rate", "net_margin_rate")
+    labels = ("month", "category", "department", "traffic_source", "brand", "status")
+    fields = F.from_json("record", ", ".join([
+        *[f"{c} string" for c in (*labels, "date_min", "date_max")],
+        *[f"{c} bigint" for c in ("orders", "net_orders", "purchasers")],
+        *[f"{c} double" for c in (*amounts, *rates)],
+    ]))
     return (
         spark.read.schema("section string, position int, record string").json(target)
         .withColumn("fields", fields)
         .select(
             "section", "position",
             F.coalesce(*[F.col(f"fields.{c}") for c in labels]).alias("label"),
-            dollars(F.col("fields.net_revenue"), 2).alias("net_revenue"),
-            "fields.orders",
+            "fields.orders", "fields.net_orders", "fields.purchasers",
+            *[dollars(F.col(f"fields.{c}"), 2).alias(c) for c in amounts],
+            *[F.round(f"fields.{c}", 6).alias(c) for c in rates],
+            "fields.date_min", "fields.date_max",
         )
     )
 
 
+def quality_report_json(spark: SparkSession, directory: str) -> DataFrame:
+    """The quality report, written as a JSON document and read back."""
+    report = quality_report(spark, directory)
+    target = scratch_dir(spark, "quality_report_json/json")
+    write_json(report, target)
+    return spark.read.schema(REPORT_SCHEMA).json(target)
+
+
+quality_report = _over_written(
+    "quality_report", lambda x: run_value_suites(resolver(x), TEST_BANDS))
+
+
 def registry() -> dict[str, Query]:
     staged = {f"stg_{name}": _over_layers(lambda layers, name=name: layers.staged(name))
               for name in STAGING}
     marts = {name: _over_layers(lambda layers, name=name: layers.mart(name)) for name in MARTS}
     contract_kinds = {
         f"dq_{kind}": _contract_kind(kind)
-        for kind in ("not_null", "unique", "accepted_values", "relationships")
+        for kind in CONTRACT_QUERIES
     }
     return {
         # sources and sinks
@@ -320,6 +471,7 @@ def registry() -> dict[str, Query]:
         "load_report": load_report,
         "load_health": load_health_log,
         "export_marts": export_marts,
+        "export_warehouse": export_warehouse,
         "publish_gate": publish_gate,
         "to_utc": offsets_to_utc,
         # layers
@@ -342,6 +494,8 @@ def registry() -> dict[str, Query]:
         "orders_by_status": _as_built(lambda x: business.orders_by_status(x.fct_orders)),
         "top_customers_ltv": _as_built(lambda x: business.top_customers_ltv(x.dim_customers)),
         "customer_segments": _over_layers(lambda x: business.customer_segments(x.dim_customers)),
+        "customer_segments_as_of": _over_layers(lambda x: business.customer_segments(
+            dim_customers(x.staged("users"), x.fct_orders, SEGMENTS_AS_OF))),
         "dashboard_kpis": _over_written(
             "dashboard_kpis",
             lambda x: rounded(business.dashboard_kpis(x.fct_daily_kpis, x.dim_customers))),
@@ -350,6 +504,8 @@ def registry() -> dict[str, Query]:
             lambda x: business.dashboard_monthly(x.fct_daily_kpis, 1997)),
         "dashboard_years": _as_built(lambda x: business.dashboard_years(x.fct_daily_kpis)),
         "top_categories": _as_built(lambda x: business.top_categories(x.dim_products)),
+        "top_three_categories": _as_built(
+            lambda x: business.revenue_by(x.dim_products, "category", top=3)),
         "revenue_by_department": _as_built(
             lambda x: business.revenue_by_department(x.dim_products)),
         "revenue_by_traffic_source": _as_built(
@@ -367,14 +523,14 @@ def registry() -> dict[str, Query]:
         "rule_recognized_le_net": _suite_rule("fct_daily_kpis", "recognized_le_net"),
         "rule_active_le_orders": _suite_rule("fct_daily_kpis", "active_le_orders"),
         "rule_finance_recon": _suite_rule("fct_revenue_recognition", "finance_recon"),
-        "source_freshness": _as_built(freshness),
-        "quality_report": _over_written(
-            "quality_report", lambda x: run_value_suites(resolver(x), TEST_BANDS)),
-        "defect_detection": _over_written(
-            "defect_detection", lambda x: detect_defects(resolver(x), bands=TEST_BANDS)),
+        **faulty_queries(),
+        "source_freshness": landed_by_age,
+        "quality_report": quality_report,
+        "quality_report_json": quality_report_json,
+        "defect_detection": _over_written("defect_detection", defects_over_written),
         "dq_status_agreement": _as_built(
             lambda x: consistency.status_agreement(x.staged("order_items"), x.staged("orders"))),
-        "dq_row_parity": _as_built(row_parity),
+        "dq_row_parity": row_parity,
         "dq_conditional_null": _as_built(
             lambda x: consistency.conditional_nulls(x.staged("orders"))),
         "dq_mart_raw_recon": _over_layers(
@@ -399,6 +555,8 @@ def registry() -> dict[str, Query]:
             lambda x: metrics.recognition_by_ship_date(x.staged("order_items"))),
         "revenue_drop_alert": _over_layers(
             lambda x: metrics.revenue_drop_alert(x.fct_daily_kpis)),
+        "revenue_drop_alert_tight": _over_layers(
+            lambda x: metrics.revenue_drop_alert(x.fct_daily_kpis, days=7, sigmas=1.0)),
         "event_funnel_daily": _over_layers(
             lambda x: metrics.event_funnel_daily(x.staged("events"))),
         "daily_conversion": _over_layers(lambda x: metrics.daily_conversion(x.staged("events"))),

@@ -78,19 +78,34 @@ def rule(name: str, holds: Column, column: str) -> RowCheck:
 
 
 Check = RowCheck | UniqueCheck
-Labelled = tuple[str, Check]
+
+
+@dataclass(frozen=True)
+class Labelled:
+    """A check with the suite and table it is reported under.
+
+    ``held_in`` names the column of the frame that holds the checked values, if the frame calls it
+    otherwise than the check does. Checks of several tables can so share the passes over one frame.
+    """
+
+    suite: str
+    table: str
+    check: Check
+    held_in: str = ""
+
+    @property
+    def column(self) -> str:
+        return self.held_in or self.check.column
 
 
 def run_checks(df: DataFrame, table: str, checks: Sequence[Check], suite: str) -> DataFrame:
     """Report rows for one suite's checks of a table, computed lazily."""
-    labelled = [(suite, check) for check in checks]
-    return run_labelled(df, table, labelled, one_pass=table in KEYED_TABLES)
+    labelled = [Labelled(suite, table, check) for check in checks]
+    return run_labelled(df, labelled, one_pass=table in KEYED_TABLES)
 
 
-def run_labelled(
-    df: DataFrame, table: str, checks: Sequence[Labelled], one_pass: bool = False
-) -> DataFrame:
-    """Report rows for the checks of several suites on one table.
+def run_labelled(df: DataFrame, checks: Sequence[Labelled], one_pass: bool = False) -> DataFrame:
+    """Report rows for checks of several suites on one frame.
 
     All row checks add up in a single aggregation without a shuffle. Each unique column costs one
     grouping of that column alone, which also answers whether it is ever NULL. With ``one_pass``
@@ -98,65 +113,74 @@ def run_labelled(
     plan already partitioned by that column, so that the grouping needs no shuffle and a second
     pass would repeat the work upstream.
     """
-    uniques = [c for c in checks if isinstance(c[1], UniqueCheck)]
-    keys = list(dict.fromkeys(c.column for _, c in uniques))
-    on_key = {key: [c for c in uniques if c[1].column == key] for key in keys}
+    uniques = [c for c in checks if isinstance(c.check, UniqueCheck)]
+    keys = list(dict.fromkeys(c.column for c in uniques))
+    on_key = {key: [c for c in uniques if c.column == key] for key in keys}
     rows = []
-    for label, check in checks:
-        if isinstance(check, RowCheck):
-            is_key_null = check.name == NOT_NULL and check.column in on_key
-            (on_key[check.column] if is_key_null else rows).append((label, check))
+    for labelled in checks:
+        if isinstance(labelled.check, RowCheck):
+            is_key_null = labelled.check.name == NOT_NULL and labelled.column in on_key
+            (on_key[labelled.column] if is_key_null else rows).append(labelled)
 
     reports = []
     if rows and not (one_pass and keys):
-        reports.append(_row_report(df, table, rows))
+        reports.append(_row_report(df, rows))
         rows = []
     for key in keys:
-        reports.append(_key_report(df, table, key, on_key[key], rows))
+        reports.append(_key_report(df, key, on_key[key], rows))
         rows = []
     return union_reports(reports)
 
 
 class _Counters:
-    """Aggregates that count evaluated values and violations of row checks."""
+    """Aggregates that count evaluated values and violations of row checks.
+
+    Checks that ask the same of the same column share their counter.
+    """
 
     def __init__(self, rows: Sequence[Labelled]):
         self._rows = rows
-        valued = sorted({c.column for _, c in rows if not c.nulls_count})
+        valued = sorted({c.column for c in rows if not c.check.nulls_count})
         self._seen = {column: f"n_{i}" for i, column in enumerate(valued)}
+        self._nulls = {column: f"z_{i}" for i, column in enumerate(dict.fromkeys(
+            c.column for c in rows if c.check.name == NOT_NULL))}
 
     def aggregates(self) -> list[Column]:
         return [
             F.count("*").alias("n_rows"),
             *[F.count(column).alias(alias) for column, alias in self._seen.items()],
-            *[F.count_if(c.violated(F.col(c.column))).alias(f"v_{i}")
-              for i, (_, c) in enumerate(self._rows)],
+            *[F.count_if(F.col(column).isNull()).alias(alias)
+              for column, alias in self._nulls.items()],
+            *[F.count_if(c.check.violated(F.col(c.column))).alias(f"v_{i}")
+              for i, c in enumerate(self._rows) if c.check.name != NOT_NULL],
         ]
 
     def names(self) -> list[str]:
-        return ["n_rows", *self._seen.values(), *[f"v_{i}" for i in range(len(self._rows))]]
+        return ["n_rows", *self._seen.values(), *self._nulls.values(),
+                *[f"v_{i}" for i, c in enumerate(self._rows) if c.check.name != NOT_NULL]]
 
-    def results(self, table: str) -> list[str]:
+    def results(self) -> list[str]:
         results = []
-        for i, (suite, check) in enumerate(self._rows):
-            evaluated = "n_rows" if check.nulls_count else self._seen[check.column]
-            violations = f"v_{i}"
+        for i, labelled in enumerate(self._rows):
+            check = labelled.check
+            evaluated = "n_rows" if check.nulls_count else self._seen[labelled.column]
+            violations = self._nulls[labelled.column] if check.name == NOT_NULL else f"v_{i}"
             ok = f"{violations} = 0"
             if check.mostly < 1.0:
                 # NULL without a single value to judge, which is no failure.
                 share = f"try_divide({evaluated} - {violations}, {evaluated})"
                 ok = f"coalesce({share} >= {check.mostly}, true)"
-            results.append(_result(suite, table, check, ok, evaluated, violations))
+            results.append(_result(labelled, ok, evaluated, violations))
         return results
 
 
-def _row_report(df: DataFrame, table: str, rows: Sequence[Labelled]) -> DataFrame:
+def _row_report(df: DataFrame, rows: Sequence[Labelled]) -> DataFrame:
     counters = _Counters(rows)
-    return df.agg(*counters.aggregates()).select(_report_rows(counters.results(table)))
+    return df.agg(*counters.aggregates()).select(_report_rows(counters.results()))
 
 
 def _key_report(
-    df: DataFrame, table: str, key: str, on_key: Sequence[Labelled], riders: Sequence[Labelled]
+    df: DataFrame, key: str, on_key: Sequence[Labelled], riders: Sequence[Labelled]
 ) -> DataFrame:
     counters = _Counters(riders)
     value, n_rows = F.col("_value"), F.col("n_rows")
@@ -174,23 +198,21 @@ def _key_report(
             F.count_if(repeated).alias("repeated_values"),
         )
     )
-    results = counters.results(table)
-    for suite, check in on_key:
-        if isinstance(check, RowCheck):
+    results = counters.results()
+    for labelled in on_key:
+        if isinstance(labelled.check, RowCheck):
             evaluated, violations = "n_rows", "null_rows"
         else:
             evaluated = "n_rows - null_rows"
-            violations = "repeated_values" if check.per_value else "repeated_rows"
-        results.append(_result(suite, table, check, f"{violations} = 0", evaluated, violations))
+            violations = "repeated_values" if labelled.check.per_value else "repeated_rows"
+        results.append(_result(labelled, f"{violations} = 0", evaluated, violations))
     return summary.select(_report_rows(results))
 
 
-def _result(
-    suite: str, table: str, check: Check, success: str, evaluated: str, violations: str
-) -> str:
+def _result(labelled: Labelled, success: str, evaluated: str, violations: str) -> str:
     """One report row as a SQL expression over the counters."""
-    labels = {"suite": suite, "table_name": table, "check_name": check.name,
-              "column_name": check.column}
+    labels = {"suite": labelled.suite, "table_name": labelled.table,
+              "check_name": labelled.check.name, "column_name": labelled.check.column}
     texts = ", ".join(f"'{name}', '{value}'" for name, value in labels.items())
     return (
         f"named_struct({texts}, 'success', {success}, "
@@ -220,9 +242,8 @@ def run_reference_check(
         F.coalesce(F.sum(F.when(F.col("known").isNull(), F.col("n"))), F.lit(0)).alias("bad"),
     )
     check = RowCheck("relationships", column, lambda value: F.lit(False))
-    return orphans.select(
-        _report_rows([_result(suite, table, check, "bad = 0", "evaluated", "bad")])
-    )
+    labelled = Labelled(suite, table, check)
+    return orphans.select(_report_rows([_result(labelled, "bad = 0", "evaluated", "bad")]))
 
 
 def union_reports(reports: Sequence[DataFrame]) -> DataFrame:

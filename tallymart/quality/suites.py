@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.operators.staging import beside_raw, raw_alias
 from tallymart.quality.checks import (
     KEYED_TABLES,
     Check,
@@ -25,6 +26,9 @@ from tallymart.quality.checks import (
 )
 from tallymart.specs import CUSTOMER_SEGMENTS, ORDER_STATUSES, RAW_TABLES
 
+# Looks up a table by its qualified name.
+Frames = Callable[[str], DataFrame]
+
 # Money totals are compared with a sub-cent tolerance.
 TOLERANCE = 0.01
 
@@ -171,24 +175,67 @@ CONTRACTS: dict[str, Contract] = {
 CONTRACT_KINDS = ("not_null", "unique", "accepted_values", "relationships")
 
 
-def run_contracts(
-    frame: Callable[[str], DataFrame], kinds: tuple[str, ...] = CONTRACT_KINDS
-) -> DataFrame:
+@dataclass(frozen=True)
+class Pass:
+    """Checks that one frame answers, named by the table that the frame shows.
+
+    ``beside`` lists raw columns that the frame holds beside the staged ones.
+    """
+
+    table: str
+    checks: tuple[Labelled, ...]
+    beside: tuple[str, ...] = ()
+
+
+def passes(labelled: Sequence[Labelled]) -> list[Pass]:
+    """Checks by frame. Raw and staged checks of a table share one: staging keeps every row.
+
+    The raw key is judged where staging holds it, value for value; other raw columns are carried
+    beside the staged ones.
+    """
+    frames: dict[str, list[Labelled]] = {}
+    beside: dict[str, list[str]] = {}
+    for item in labelled:
+        table = item.table
+        if table.startswith("raw."):
+            spec = RAW_TABLES[table.removeprefix("raw.")]
+            table = f"stg_{spec.name}"
+            if item.check.column == spec.key:
+                item = replace(item, held_in=spec.staged_key)
+            else:
+                item = replace(item, held_in=raw_alias(item.check.column))
+                beside.setdefault(table, []).append(item.check.column)
+        frames.setdefault(table, []).append(item)
+    return [Pass(table, tuple(items), tuple(dict.fromkeys(beside.get(table, ()))))
+            for table, items in frames.items()]
+
+
+def run_pass(frame: Frames, one: Pass) -> DataFrame:
+    """The report of one pass."""
+    df = frame(one.table)
+    if one.beside:
+        name = one.table.removeprefix("stg_")
+        df = beside_raw(name, frame(f"raw.{name}"), one.beside)
+    return run_labelled(df, one.checks, one_pass=one.table in KEYED_TABLES)
+
+
+def contract_checks(kinds: tuple[str, ...] = CONTRACT_KINDS) -> list[Labelled]:
+    return [Labelled("contract", table, check)
+            for table, contract in CONTRACTS.items() for check in contract.checks(kinds)]
+
+
+def run_contracts(frame: Frames, kinds: tuple[str, ...] = CONTRACT_KINDS) -> DataFrame:
     """Report over the contract checks of every table.
 
     The kinds of one table share its passes, except references, which need the parent's keys.
     """
-    reports = [
-        run_checks(frame(table), table, checks, "contract")
-        for table, contract in CONTRACTS.items()
-        if (checks := contract.checks(kinds))
-    ]
+    reports = [run_pass(frame, one) for one in passes(contract_checks(kinds))]
     if "relationships" in kinds:
         reports += run_references(frame)
     return union_reports(reports)
 
 
-def run_references(frame: Callable[[str], DataFrame]) -> list[DataFrame]:
+def run_references(frame: Frames) -> list[DataFrame]:
     return [
         run_reference_check(frame(table), column, frame(parent), key, table, "contract")
         for table, contract in CONTRACTS.items()
@@ -206,23 +253,15 @@ def singular_checks() -> dict[str, list[Check]]:
     }
 
 
-def all_reports(frame: Callable[[str], DataFrame], bands: Bands = Bands()) -> list[DataFrame]:
-    """Contracts, assertions and value suites as one report per table and per reference.
+def all_reports(frame: Frames, bands: Bands = Bands()) -> list[DataFrame]:
+    """Contracts, assertions and value suites as one report per frame and per reference.
 
     The suites share the passes over a table. The reports are small, independent jobs.
     """
-    labelled: dict[str, list[Labelled]] = {
-        table: [("contract", c) for c in contract.checks(CONTRACT_KINDS)]
-        for table, contract in CONTRACTS.items()
-    }
+    labelled = contract_checks()
     for suite, tables in (("singular", singular_checks()), ("values", value_suites(bands))):
-        for table, checks in tables.items():
-            labelled.setdefault(table, []).extend((suite, c) for c in checks)
-    reports = [
-        run_labelled(frame(table), table, checks, one_pass=table in KEYED_TABLES)
-        for table, checks in labelled.items()
-    ]
-    return reports + run_references(frame)
+        labelled += [Labelled(suite, table, c) for table, checks in tables.items() for c in checks]
+    return [run_pass(frame, one) for one in passes(labelled)] + run_references(frame)
 
 
 def negative_prices(items: DataFrame) -> DataFrame:
@@ -230,6 +269,29 @@ def negative_prices(items: DataFrame) -> DataFrame:
     return items.filter(F.col("sale_price") < 0).select("order_item_id", "sale_price")
 
 
+# Row rules of the daily and finance marts: what must hold.
+DAY_RULES: dict[str, tuple[str, Callable[[], Column]]] = {
+    "ladder_order": ("fct_daily_kpis", ladder_ordered),
+    "recognized_le_net": ("fct_daily_kpis", recognized_within_net),
+    "active_le_orders": ("fct_daily_kpis", active_within_orders),
+    "finance_recon": ("fct_revenue_recognition", finance_reconciles),
+}
+
+
+def offending_days(frame: Frames, names: Sequence[str] = tuple(DAY_RULES)) -> DataFrame:
+    """(rule, order_date) of every day that breaks a rule of its mart; NULL breaks nothing.
+
+    The rules of one mart are judged in one pass.
+    """
+    found = []
+    for table in dict.fromkeys(DAY_RULES[n][0] for n in names):
+        broken = F.array(*[F.when(~DAY_RULES[n][1](), F.lit(n))
+                           for n in names if DAY_RULES[n][0] == table])
+        found.append(frame(table).select("order_date", F.explode(broken).alias("rule"))
+                     .filter("rule IS NOT NULL"))
+    return union_reports(found).select("rule", "order_date")
+
+
 def unreconciled_days(recognition: DataFrame) -> DataFrame:
     """Offending days with both sides and their difference."""
     return recognition.filter(~finance_reconciles()).select(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tallymart.quality import consistency, suites
 from tallymart.quality.checks import (
+    Labelled,
     UniqueCheck,
     accepted_values,
     between,
@@ -43,8 +44,8 @@ def checks():
 
 @pytest.mark.parametrize("one_pass", [True, False])
 def test_null_handling_of_every_kind(sample, one_pass):
-    labelled = [("t", c) for c in checks()]
-    assert outcome(run_labelled(sample, "t", labelled, one_pass)) == {
+    labelled = [Labelled("t", "t", c) for c in checks()]
+    assert outcome(run_labelled(sample, labelled, one_pass)) == {
         ("not_null", "k"): (False, 6, 2),
         ("unique", "k"): (False, 4, 2),
         ("not_null", "x"): (False, 6, 1),
@@ -71,8 +72,8 @@ def test_tolerance_is_inclusive(spark, bad, success):
 
 @pytest.mark.parametrize("one_pass", [True, False])
 def test_an_empty_table_passes(sample, one_pass):
-    labelled = [("t", c) for c in [*checks(), between("x", 0, 1, mostly=0.5)]]
-    report = run_labelled(sample.filter("false"), "t", labelled, one_pass)
+    labelled = [Labelled("t", "t", c) for c in [*checks(), between("x", 0, 1, mostly=0.5)]]
+    report = run_labelled(sample.filter("false"), labelled, one_pass)
     assert gate_summary(report).first().gate_open is True
     assert {r.evaluated for r in report.collect()} == {0}
 
