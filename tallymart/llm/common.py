@@ -22,6 +22,20 @@ def share_code(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
+BATCH_ROWS = 500  # rows of text that go to a Python worker at a time
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the rows of an Arrow batch to ``BATCH_ROWS`` in this session.
+
+    Spark's own bound of 10,000 rows suits numbers; of long texts it makes batches that a worker
+    cannot hold several times over.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key, "10000")) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
 

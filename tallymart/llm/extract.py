@@ -21,6 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallymart.llm.common import bound_batches
 from tallymart.workspace import scratch_dir, write_and_read
 
 # Elements whose content is no text at all; it ends at their end tag only.
@@ -325,6 +326,7 @@ def extract(pages: DataFrame) -> DataFrame:
     any text outside boilerplate give an empty text; repeated rows give equal rows; an empty table
     gives an empty result; further columns are ignored.
     """
+    bound_batches(pages.sparkSession)
     winners = write_and_read(winning_paths(votes(pages)),
                              scratch_dir(pages.sparkSession, "extract/winners"))
     slim = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))

@@ -30,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.llm.common import bound_batches
+
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
 # From whole text in UTF-8 and its words to one value per structure statistic.
@@ -207,6 +209,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str, learn_from: Column,
     every document 0.5.
     """
     spark = documents.sparkSession
+    bound_batches(spark)
     order = F.xxhash64("doc_id", "label")
     sample = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))

@@ -21,12 +21,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.llm.common import bound_batches
 from tallymart.llm.ranks import shuffle_partitions, with_positions
 from tallymart.workspace import scratch_dir, write_and_read
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 2
-CACHE_WORDS = 600_000  # words whose ids a Python worker remembers
+CACHE_WORDS = 400_000  # words whose ids a Python worker remembers
 CACHE_WORD_BYTES = 64
 
 PIECE = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
@@ -203,6 +204,7 @@ def pack(documents: DataFrame, tokenizer: str, sequence: int = SEQUENCE_TOKENS,
     an empty table gives an empty result; further columns are ignored. ``keep_ids`` adds the ids.
     """
     spark = documents.sparkSession
+    bound_batches(spark)
     written = write_and_read(pieces(documents, tokenizer, sequence, end_token, keep_ids),
                              scratch_dir(spark, "packing/pieces"))
     # Sorted by length, the position minus the number of shorter pieces is the rank in the length.

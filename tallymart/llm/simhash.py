@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.llm.common import bound_batches
 from tallymart.llm.links import components
 from tallymart.workspace import scratch_dir, write_and_read
 
@@ -209,6 +210,7 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOC
 def _classes(documents: DataFrame, shingle_words: int, max_bits: int, blocks: int, leaf_rows: int,
              tile_rows: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, fp) of every row, and (fp, root, component_id) of every distinct fingerprint."""
+    bound_batches(documents.sparkSession)
     folder = scratch_dir(documents.sparkSession, "simhash")
     marked = write_and_read(
         documents.select("doc_id", fingerprint_column(shingle_words).alias("fp")),

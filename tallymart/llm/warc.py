@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.llm.common import utf8_bytes
+from tallymart.llm.common import bound_batches, utf8_bytes
 from tallymart.workspace import scratch_dir, write_and_read
 
 MIN_REVISIT_BYTES = 100
@@ -145,6 +145,7 @@ def write_archives(pages: DataFrame, folder: str, shard_bytes: int = SHARD_BYTES
     page_id is NULL is a response and nothing revisits it; repeated rows of the smallest page_id are
     all responses; an empty table gives no file and an empty manifest; further columns are ignored.
     """
+    bound_batches(pages.sparkSession)
     described = _described(pages)
     slim = write_and_read(described.drop("html"), f"{folder.rstrip('/')}-index")
     total = slim.agg(F.sum("payload_bytes")).first()[0] or 0
