@@ -70,14 +70,11 @@ def source_rates(documents: DataFrame, weights: Mapping[str, float] | None, tota
             if weights else F.lit(None).cast("map<string,double>")
         declared = F.coalesce(F.element_at(known, F.col("source")).cast("double"), F.lit(0.0))
     weighed = counts.withColumn("weight", declared)
-    sums = weighed.agg(F.sum("weight").alias("all_weight"), F.sum("n").alias("all_rows"))
-    rows = F.col("all_rows").cast("double") if total is None else F.lit(float(total))
-    return (
-        weighed.join(F.broadcast(sums))  # one row
-        .select("source", F.when(F.col("all_weight") > 0,
-                                 F.col("weight") / F.col("all_weight") * rows / F.col("n"))
-                .otherwise(F.lit(0.0)).alias("rate"))
-    )
+    all_weight, all_rows = weighed.agg(F.sum("weight"), F.sum("n")).first()  # two numbers
+    rows = float(total if total is not None else all_rows or 0)
+    rate = (F.col("weight") / F.lit(float(all_weight)) * F.lit(rows) / F.col("n")
+            if all_weight else F.lit(0.0))
+    return weighed.select("source", rate.alias("rate"))
 
 
 def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
