@@ -27,7 +27,7 @@ from tallymart.workspace import scratch_dir, write_and_read
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 2
-CACHE_WORDS = 400_000  # words whose ids a Python worker remembers
+CACHE_WORDS = 200_000  # words whose ids a Python worker remembers
 CACHE_WORD_BYTES = 64
 
 PIECE = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
@@ -57,7 +57,15 @@ class WordEncoder:
         for token, number in self.tokenizer.get_vocab().items():
             if token.endswith("</w>"):
                 self.ends[number] = True
-        self.cache: dict[bytes, bytes] = {}
+        # Words of the last batches and of those before; the older half goes when the other is full.
+        self.recent: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def _known(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of those words that are in the cache."""
+        found = {w: self.recent[w] for w in words if w in self.recent}
+        found.update((w, self.older[w]) for w in words if w not in found and w in self.older)
+        return found
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -75,8 +83,7 @@ class WordEncoder:
                     others.add(word[len(stem):])
             else:
                 others.add(word)
-        known = self.cache
-        ids = {w: known[w] for w in letters | others if w in known}
+        ids = self._known(letters | others)
         new = [w for w in letters if w not in ids]
         if new:
             [joined] = self._ids([b" ".join(new).decode()])
@@ -95,16 +102,16 @@ class WordEncoder:
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         words = [b"" if t is None else t.encode("utf-8", "replace").lower() for t in texts]
         words = [w.split() for w in words]
-        if len(self.cache) > CACHE_WORDS:
-            self.cache.clear()
+        if len(self.recent) > CACHE_WORDS // 2:
+            self.older, self.recent = self.recent, {}
         distinct = set().union(*words) if words else set()
-        missing = {w for w in distinct if w not in self.cache}
-        learnt = self._learn(missing) if missing else {}
-        long = {w: v for w, v in learnt.items() if len(w) > CACHE_WORD_BYTES}
-        self.cache.update((w, v) for w, v in learnt.items() if w not in long)
-        lookup = {**self.cache, **long}.__getitem__ if long else self.cache.__getitem__
+        ids = self._known(distinct)
+        missing = distinct - ids.keys()
+        if missing:
+            ids.update(self._learn(missing))
+        self.recent.update((w, v) for w, v in ids.items() if len(w) <= CACHE_WORD_BYTES)
         for parts in words:
-            yield b"".join(map(lookup, parts))
+            yield b"".join(map(ids.__getitem__, parts))
 
 
 def encoder(path: str) -> WordEncoder:

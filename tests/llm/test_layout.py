@@ -144,6 +144,15 @@ def test_ids_equal_the_tokenizer_s():
         assert got == [ids[:-1] for ids in plain_ids(TEXTS)]
 
 
+def test_ids_do_not_depend_on_the_cache(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_WORDS", 4)
+    encoder = packing.WordEncoder(registry.tokenizer_path())
+    for _ in range(2):
+        for text in TEXTS:  # words leave the cache and come back
+            [got] = encoder.encode([text])
+            assert np.frombuffer(got, "<u4").tolist() == plain_ids([text])[0][:-1]
+
+
 @pytest.mark.parametrize("histogram", [
     {}, {1: 1}, {4095: 3}, {2048: 5}, {100: 10_007}, {n: 4096 - n for n in range(1, 4096)},
     {3000: 10, 1096: 10}, {4000: 7, 96: 7, 1: 5}])
