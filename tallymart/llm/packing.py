@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -228,10 +229,12 @@ def pack(documents: DataFrame, tokenizer: str, sequence: int = SEQUENCE_TOKENS,
     rows = slots(plan(partial, sequence), full)
     if full:
         rows.append((sequence, 0, full - 1, 0, 0))
-    schema = ("length long, first_rank long, last_rank long, first_sequence long, offset long, "
-              "shorter long")
-    # Each slot is a row of the plan, whose size is bounded by the bins of the histogram.
-    table = spark.createDataFrame([(*r, shorter[r[0]]) for r in rows], schema)
+    fields = ["length", "first_rank", "last_rank", "first_sequence", "offset", "shorter"]
+    # Each slot is a row of the plan, whose size is bounded by the bins of the histogram. From an
+    # Arrow table Spark makes rows without Python workers, which would stay in memory.
+    values = np.array([(*r, shorter[r[0]]) for r in rows], dtype=np.int64).reshape(-1, 6).T
+    table = spark.createDataFrame(
+        pa.table({name: pa.array(column) for name, column in zip(fields, values)}))
     by_length = (
         table.groupBy("length", "shorter")
         .agg(F.array_sort(F.collect_list(F.struct(
