@@ -28,7 +28,7 @@ from tallymart.workspace import scratch_dir, write_and_read
 
 SEQUENCE_TOKENS = 4096
 END_TOKEN = 2
-CACHE_WORDS = 200_000  # words whose ids a Python worker remembers
+CACHE_WORDS = 600_000  # words whose ids a Python worker remembers
 CACHE_WORD_BYTES = 64
 
 PIECE = "doc_id string, start long, length long, ids_crc32 long, doc_tokens long"
@@ -106,13 +106,17 @@ class WordEncoder:
         if len(self.recent) > CACHE_WORDS // 2:
             self.older, self.recent = self.recent, {}
         distinct = set().union(*words) if words else set()
-        ids = self._known(distinct)
-        missing = distinct - ids.keys()
-        if missing:
-            ids.update(self._learn(missing))
-        self.recent.update((w, v) for w, v in ids.items() if len(w) <= CACHE_WORD_BYTES)
+        missing = distinct.difference(self.recent)
+        again = {w: self.older[w] for w in missing if w in self.older}
+        self.recent.update(again)
+        missing.difference_update(again)
+        learnt = self._learn(missing) if missing else {}
+        self.recent.update(learnt)
         for parts in words:
-            yield b"".join(map(ids.__getitem__, parts))
+            yield b"".join(map(self.recent.__getitem__, parts))
+        for word in learnt:
+            if len(word) > CACHE_WORD_BYTES:
+                del self.recent[word]
 
 
 def encoder(path: str) -> WordEncoder:
