@@ -3,6 +3,8 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +100,52 @@ def test_recall_on_the_whole_table(spark):
     assert got == expected
 
 
+def planted(folder, label, rows, shared, groups, seed):
+    """``rows`` vectors about common directions, the first 2,000 with a partner at cosine 0.981."""
+    rng = np.random.default_rng(seed)
+
+    def unit(x):
+        return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+    centres = unit(rng.normal(size=(groups, 64)))[rng.integers(0, groups, rows)]
+    base = unit(np.sqrt(shared) * centres + np.sqrt(1 - shared) * unit(rng.normal(size=(rows, 64))))
+    side = rng.normal(size=(2000, 64))
+    side = unit(side - (side * base[:2000]).sum(axis=1, keepdims=True) * base[:2000])
+    both = np.vstack([base, 0.981 * base[:2000] + np.sqrt(1 - 0.981 ** 2) * side])
+    ids = label * 10_000_000 + np.arange(len(both))
+    pq.write_table(pa.table({
+        "vec_id": pa.array(ids), "embedding": pa.array(list(both.astype(np.float32))),
+        "label": pa.array(np.full(len(both), label, dtype=np.int32))}),
+        f"{folder}/{label}.parquet")
+    return list(zip(ids[:2000].tolist(), ids[rows:].tolist()))
+
+
+def test_recall_of_planted_pairs(spark, tmp_path):
+    """Small labels, and hot ones whose vectors share one direction, several or none."""
+    shapes = [(3_000, 0.0, 1), (3_000, 0.9, 1), (22_000, 0.0, 1), (22_000, 0.8, 1),
+              (22_000, 0.9, 1), (22_000, 0.8, 20)]
+    pairs = {i: planted(tmp_path, i, *shape, seed=i) for i, shape in enumerate(shapes)}
+    df = spark.read.parquet(str(tmp_path))
+    found = {r["vec_id"]: r["component_id"] for r in projections.near_duplicates(df).collect()}
+    recall = {shapes[i]: np.mean([found[a] == found[b] for a, b in some])
+              for i, some in pairs.items()}
+    assert all(recall[shape] == 1 for shape in shapes if shape[0] <= projections.EXACT), recall
+    assert min(recall.values()) >= 0.9985, recall
+
+
+def test_passes_follow_size_and_shape():
+    rng = np.random.default_rng(1)
+    noise = rng.normal(size=(1000, 64)) / 8
+    shared = np.sqrt(0.8) * np.eye(64)[0] + np.sqrt(0.2) * noise
+
+    def needed(vectors, classes):
+        unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+        return projections.passes_needed(unit, classes, 0.98, 12, 62, 1024, 1e-4)
+
+    assert 12 <= needed(noise, 20_000) < needed(noise, 10_000_000)
+    assert needed(noise, 1_000_000) < needed(shared, 1_000_000)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, j) for j in range(101, 140)]
     links += [(201, 200), (200, 201), (300, 300)]
