@@ -10,7 +10,10 @@ present; with ``affix`` also its first and last bytes, so that inflected forms s
 one bucket per structure statistic or metadata field, the statistic being cut into
 bins at quantiles of the fitting sample. Buckets enter the model when enough sampled documents hold
 them and their document frequencies differ between the classes by more than chance
-(``min_documents``, ``min_z``); all other buckets weigh nothing.
+(``min_documents``, ``min_z``), or when they are one of the ``pair_terms`` buckets of the strongest
+pairs: pairs that occur together in one class more than in the other beyond what each does alone
+(``min_pair_z``), among the ``pair_candidates`` buckets whose presence varies most. All other buckets
+weigh nothing.
 
 Fitting uses a sample bounded by ``FmConfig.sample_rows`` labelled rows (the smallest hashes of the
 row); features are extracted where the documents lie, and one task fits the model on them. Scoring
@@ -49,7 +52,10 @@ class FmConfig:
     bins: int = 8
     max_terms: int = 4096
     min_documents: int = 5
-    min_z: float = 4.0
+    min_z: float = 5.0  # chance alone reaches this in less than one of 2**20 buckets
+    pair_candidates: int = 2048
+    pair_terms: int = 256
+    min_pair_z: float = 8.0
     epochs: int = 250
     learning_rate: float = 0.05
     l2_linear: float = 1e-4
@@ -122,6 +128,44 @@ def features(texts: pd.Series, metadata: Sequence[pd.Series], statistics: Statis
                statistics(raw, words) + [_number(c[i]) for c in columns])
 
 
+def paired_terms(labels: np.ndarray, buckets: list[np.ndarray], in_all: np.ndarray,
+                 config: FmConfig) -> np.ndarray:
+    """Buckets of the pairs whose covariance differs most between the classes, strongest first."""
+    n, ones = len(labels), int((labels != 0).sum())
+    share = in_all / max(n, 1)
+    varies = np.where(in_all >= max(config.min_documents, 1), share * (1 - share), 0.0)
+    terms = np.argsort(-varies, kind="stable")[: config.pair_candidates]
+    terms = terms[varies[terms] > 0]
+    if len(terms) < 2 or ones in (0, n):
+        return terms[:0]
+    column = np.full(len(in_all), -1)
+    column[terms] = np.arange(len(terms))
+    present = np.zeros((n, len(terms)), dtype=np.float32)
+    for row, found in enumerate(buckets):
+        known = column[found]
+        present[row, known[known >= 0]] = 1
+    difference = np.zeros((len(terms), len(terms)), dtype=np.float32)
+    variance = np.zeros_like(difference)
+    for sign, rows in ((1, labels != 0), (-1, labels == 0)):
+        size, p = int(rows.sum()), present[rows].mean(axis=0)
+        both = present[rows].T @ present[rows] / size
+        covariance, rest = both - np.outer(p, p), 1 - 2 * p
+        square = np.outer(p, p) ** 2 + np.outer(p * p, rest * p) + np.outer(rest * p, p * p)
+        square += np.outer(rest, rest) * both  # mean of the squared centred products
+        independent = np.outer(p * (1 - p), p * (1 - p))
+        difference += sign * covariance
+        variance += np.maximum(square - covariance ** 2, independent) / size
+    # A pair counts by what it tells beyond the better one of its terms.
+    alone = np.abs(present[labels != 0].mean(axis=0) - present[labels == 0].mean(axis=0))
+    alone /= np.sqrt(varies[terms] * (1 / ones + 1 / (n - ones)))
+    z = np.abs(difference) / np.sqrt(np.maximum(variance, 1e-12)) - np.maximum.outer(alone, alone)
+    z[n * np.outer(share[terms], share[terms]) < config.min_documents] = 0.0  # hardly ever expected
+    np.fill_diagonal(z, 0.0)
+    strongest = z.max(axis=1)
+    order = np.argsort(-strongest, kind="stable")[: config.pair_terms]
+    return terms[order[strongest[order] >= config.min_pair_z]]
+
+
 def fit_arrays(labels: np.ndarray, buckets: list[np.ndarray], statistics: np.ndarray,
                config: FmConfig) -> FmModel:
     """Fit on documents held in memory; ``statistics`` has one row per document."""
@@ -140,7 +184,10 @@ def fit_arrays(labels: np.ndarray, buckets: list[np.ndarray], statistics: np.nda
     z = (in_one / positive - (in_all - in_one) / negative) / spread
     z[in_all < config.min_documents] = 0.0
     chosen = np.flatnonzero(np.abs(z) >= config.min_z)
-    chosen = np.sort(chosen[np.argsort(-np.abs(z[chosen]), kind="stable")][: config.max_terms])
+    chosen = chosen[np.argsort(-np.abs(z[chosen]), kind="stable")]
+    paired = paired_terms(labels, buckets, in_all, config)[: config.max_terms]
+    alone = chosen[~np.isin(chosen, paired)][: config.max_terms - len(paired)]
+    chosen = np.sort(np.concatenate([alone, paired]))
     terms = np.zeros(size, dtype=np.int32)
     terms[chosen] = np.arange(1, len(chosen) + 1, dtype=np.int32)
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tallymart.llm import fm
 from tallymart.llm.common import id_remainder
 
-CONFIG = fm.FmConfig(min_z=8.0, bins=12, l2_linear=3e-4, l2_factors=3e-3)
+CONFIG = fm.FmConfig(bins=12, l2_linear=3e-4, l2_factors=3e-3)
 METADATA = ("n_chars",)
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 4, 2

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallymart.llm import fm
 from tallymart.llm.common import id_remainder
 
-CONFIG = fm.FmConfig(affix=4, min_z=8.0, epochs=600, l2_linear=1e-5, l2_factors=1e-4, seed=11)
+CONFIG = fm.FmConfig(affix=4, epochs=600, l2_linear=1e-5, l2_factors=1e-4, seed=11)
 THRESHOLD = 0.5
 FOLDS, HELD_OUT = 5, 0
 

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -35,6 +37,35 @@ def test_a_pair_of_terms_is_learnt_that_no_sum_expresses():
     assert all((s >= 0.5) == bool(y) for s, y in zip(scores, labels))
 
 
+@pytest.mark.parametrize("config", [toxicity.CONFIG, quality.CONFIG])
+def test_production_parameters_learn_a_pair_without_marginal_difference(config):
+    rng = np.random.default_rng(4)
+    texts, labels = [], []
+    for number in range(2000):
+        insult, mention = number & 1, number >> 1 & 1
+        words = [b"insult"] * insult + [b"mention"] * mention
+        words += [b"noise%dx" % i for i in rng.integers(0, 300, 20)]
+        texts.append(fm.buckets_of(words, config))
+        labels.append(insult ^ mention)
+    y = np.array(labels)
+    model = fm.fit_arrays(y[:1600], texts[:1600], np.zeros((1600, 1)), config)
+    scores = np.array([model.score_rows(model.rows_of(b, [0.0])) for b in texts[1600:]])
+    assert ((scores >= 0.5) == y[1600:]).mean() >= 0.98
+
+
+def test_production_parameters_keep_rare_terms():
+    """1 % toxic texts; each of 20 words is in 5 % of them and in 0.5 % of the others."""
+    config, vocabulary, texts = toxicity.CONFIG, [b"w%02d" % i for i in range(20)], []
+    for number in range(10_000):
+        toxic, place = number < 100, number % 100 if number < 100 else number % 200
+        words = [w for i, w in enumerate(vocabulary)
+                 if (place // 5 == i if toxic else place == i)]
+        texts.append(fm.buckets_of([b"filler", *words], config))
+    y = (np.arange(10_000) < 100).astype(int)
+    model = fm.fit_arrays(y, texts, np.zeros((10_000, 1)), replace(config, epochs=1))
+    assert (model.terms[fm.buckets_of(vocabulary, config)] > 0).all()
+
+
 def test_words_and_affixes():
     assert fm.words_of("Café, It's 12!".encode()) == ["café".encode(), b"it", b"s", b"12"]
     plain = fm.buckets_of([b"abcdefgh", b"ab"], fm.FmConfig())
