@@ -15,8 +15,9 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tallymart.llm.common import utf8_bytes, utf8_crc32
 from tallymart.llm.ranks import shuffle_partitions, with_positions
@@ -27,12 +28,31 @@ BITS = 5
 LAW = "rows"
 ROW_OVERHEAD = 8  # bytes per document beside its text
 QUANTILE_ACCURACY = 10_000
+RUN = 4096  # distinct strings whose counts one window sums up
 
 
-def string_key(value: Column) -> Column:
-    """The first six bytes of a string as a number that sorts like them."""
-    head = F.substring(F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0"), 1, 12)
-    return F.conv(head, 16, 10).cast("long")
+def string_edges(rows: DataFrame, dimension: str, cells: int) -> list[str]:
+    """Distinct values of a string dimension at the inner of ``cells`` quantiles of its rows.
+
+    Whole values are compared. Rows are counted per value, and the counts are summed up in runs of
+    ``RUN`` values, so that no task sees all values.
+    """
+    spark = rows.sparkSession
+    counts = rows.where(F.col(dimension).isNotNull()).groupBy(F.col(dimension).alias("value")).agg(
+        F.count("*").alias("n"))
+    placed, _ = with_positions(counts, ["value"], shuffle_partitions(spark), f"hilbert/{dimension}")
+    runs = placed.withColumn("run", F.expr(f"position div {RUN}"))
+    whole = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    sums = runs.groupBy("run").agg(F.sum("n").alias("in_run"))
+    total = sums.agg(F.coalesce(F.sum("in_run"), F.lit(0))).first()[0]
+    starts = sums.withColumn("start", F.coalesce(F.sum("in_run").over(whole), F.lit(0)))
+    within = Window.partitionBy("run").orderBy("position")
+    upto = F.col("start") + F.sum("n").over(within)
+    summed = runs.join(starts.select("run", "start"), "run").withColumn("upto", upto)
+    # Quantile i lies at a value when i * total / cells is beyond the rows before it, not its own.
+    last = F.least(F.expr(f"upto * {cells} div {max(total, 1)}"), F.lit(cells - 1))
+    before = F.expr(f"(upto - n) * {cells} div {max(total, 1)}")
+    return [r["value"] for r in summed.where(last > before).select("value").collect()]
 
 
 def curve(spark: SparkSession, dimensions: int, bits: int) -> DataFrame:
@@ -79,8 +99,10 @@ def curve(spark: SparkSession, dimensions: int, bits: int) -> DataFrame:
 def quantised(rows: DataFrame, dimensions: list[str], bits: int) -> Column:
     """The cell of each row; cut points are quantiles over all rows, one small row per table."""
     inner = [i / (1 << bits) for i in range(1, 1 << bits)]
-    [cuts] = rows.agg(*[F.percentile_approx(d, inner, QUANTILE_ACCURACY).alias(d)
-                        for d in dimensions]).collect()
+    texts = [d for d in dimensions if rows.schema[d].dataType == StringType()]
+    [found] = rows.agg(*[F.percentile_approx(d, inner, QUANTILE_ACCURACY).alias(d)
+                         for d in dimensions if d not in texts]).collect()
+    cuts = found.asDict() | {d: string_edges(rows, d, 1 << bits) for d in texts}
 
     def coordinate(dimension: str) -> Column:
         edges = sorted(set(cuts[dimension] or []))
@@ -105,12 +127,12 @@ def shard(documents: DataFrame, shards: int = SHARDS, bits: int = BITS) -> DataF
         "doc_id",
         (utf8_bytes(F.col("text")) + ROW_OVERHEAD).alias("size"),
         utf8_crc32(F.col("text")).alias("text_crc32"),
-        string_key(F.col("lang")).alias("lang_key"),
-        string_key(F.col("source")).alias("source_key"),
+        F.col("lang").cast("string").alias("lang"),
+        F.col("source").cast("string").alias("source"),
     )
     # One scan of the texts; everything after it reads a few numbers per document.
     slim = write_and_read(slim, scratch_dir(spark, "hilbert/slim"))
-    dimensions = ["lang_key", "source_key", "size"]
+    dimensions = ["lang", "source", "size"]
     cells = slim.withColumn("cell", quantised(slim, dimensions, bits))
     # The curve has 2**(3 * bits) rows, so its broadcast is bounded by the parameter.
     on_curve = cells.join(F.broadcast(curve(spark, len(dimensions), bits)), "cell")

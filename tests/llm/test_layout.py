@@ -61,6 +61,18 @@ def test_a_filter_on_a_dimension_prunes_shards(spark, sf_medium):
         assert hit <= 14
 
 
+@pytest.mark.parametrize("prefix", ["common_crawl_", "https://www.example.org/feed/"])
+def test_sources_of_one_prefix_are_kept_apart(spark, monkeypatch, prefix):
+    monkeypatch.setattr(hilbert, "RUN", 6)
+    docs = documents(spark, [(i, "x" * (i * 37 % 101), "en", f"{prefix}{i % 20:02d}", 1)
+                             for i in range(4000)])
+    plain = docs.withColumn("source", F.substring("source", len(prefix) + 1, 2))
+    for number in ("03", "11"):
+        hits = [hilbert.shard(d).join(docs, "doc_id").where(F.col("source") == prefix + number)
+                .select("shard").distinct().count() for d in (docs, plain)]
+        assert hits[0] == hits[1] <= 8
+
+
 def test_hilbert_shards_run_without_python(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
     plan = hilbert.shard(docs)._jdf.queryExecution().toString()
