@@ -79,5 +79,34 @@ SELECT doc_id, text, lang, source, n_chars, round(rate, 6) AS rate, copies, n::I
        ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '') || '|' || n), 1, 15))::BIGINT
          AS shuffle_key
 FROM copied
+""",
+    "op12_pipelined_search": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+size AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM d WHERE len(terms) > 0),
+tf AS (
+  SELECT row_id, any_value(doc_id) AS doc_id, any_value(len(terms)) AS n, term, count(*) AS tf
+  FROM (SELECT row_id, doc_id, terms, unnest(terms) AS term FROM d) GROUP BY row_id, term),
+weights AS (
+  SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1)))::BIGINT AS w
+  FROM tf, size GROUP BY term, n_docs),
+q AS (
+  SELECT row_number() OVER () AS item_row, item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM benchmark),
+asked AS (SELECT item_row, item_id, unnest(terms) AS term FROM q),
+scored AS (
+  SELECT item_row, item_id, row_id, doc_id,
+         sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::BIGINT
+           AS score
+  FROM asked JOIN tf USING (term) JOIN weights USING (term), size
+  GROUP BY item_row, item_id, row_id, doc_id),
+ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_row ORDER BY score DESC, doc_id)::INTEGER AS rank,
+         doc_id, score
+  FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """,
 }

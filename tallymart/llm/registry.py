@@ -1,4 +1,4 @@
-"""The ten operators and the corpus pipeline as registered queries, and SQL where it can say them."""
+"""The thirteen operators and the corpus pipeline as registered queries, and SQL where it can say them."""
 
 from __future__ import annotations
 
@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from tallymart.llm import (
     bitslice,
+    bpe,
     extract,
     hilbert,
+    lexical,
     packing,
     poisson,
     projections,
@@ -19,11 +21,13 @@ from tallymart.llm import (
     simhash,
     toxicity,
     warc,
+    whiten,
 )
 from tallymart.llm.common import share_code, table
 from tallymart.llm.counterparts import SQL
 
 TOKENIZER = "word_bpe_49k.json"
+RANKS = "byte_bpe_50k.tiktoken"
 
 
 def tokenizer_path() -> str:
@@ -74,6 +78,20 @@ def op10_histogram_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.pack(table(spark, directory, "documents"), tokenizer_path())
 
 
+def op11_polynomial_whitening(spark: SparkSession, directory: str) -> DataFrame:
+    return whiten.whiten(table(spark, directory, "embeddings"))
+
+
+def op12_pipelined_search(spark: SparkSession, directory: str) -> DataFrame:
+    return lexical.search(table(spark, directory, "documents"),
+                          table(spark, directory, "benchmark"))
+
+
+def op13_rank_queue_bpe(spark: SparkSession, directory: str) -> DataFrame:
+    return bpe.round_trip(table(spark, directory, "documents"), public_tokenizers.path(RANKS),
+                          public_tokenizers.PATTERN)
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -89,7 +107,8 @@ def queries() -> dict[str, Query]:
     return {f.__name__: _with_code(f) for f in (
         op1_quality_fm, op2_projection_dedup, op3_bitslice_topk, op4_host_consensus_text,
         op5_hilbert_shards, op6_warc_archive, op7_toxicity_fm, op8_poisson_mix,
-        op9_simhash_vptree, op10_histogram_packing)}
+        op9_simhash_vptree, op10_histogram_packing, op11_polynomial_whitening,
+        op12_pipelined_search, op13_rank_queue_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

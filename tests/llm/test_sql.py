@@ -12,7 +12,7 @@ SQL = registry.oracle_sql()
 def test_every_operator_is_registered():
     queries = entry_module.queries()
     numbers = {int(name[2:].split("_")[0]) for name in registry.queries()}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(registry.queries()) | {"pipeline"} <= set(queries)
     assert set(SQL) <= set(registry.queries())
 
