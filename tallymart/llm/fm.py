@@ -37,6 +37,8 @@ from tallymart.llm.common import bound_batches
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
+# Terms and rows of the blocks in which pairs are screened: they bound the memory of a fit.
+PAIR_BLOCK, PAIR_ROWS = 256, 2048
 # From whole text in UTF-8 and its words to one value per structure statistic.
 Statistics = Callable[[bytes, list[bytes]], list[float]]
 
@@ -140,32 +142,52 @@ def paired_terms(labels: np.ndarray, buckets: list[np.ndarray], in_all: np.ndarr
         return terms[:0]
     column = np.full(len(in_all), -1)
     column[terms] = np.arange(len(terms))
-    present = np.zeros((n, len(terms)), dtype=np.float32)
+    present = np.zeros((n, len(terms)), dtype=np.uint8)
     for row, found in enumerate(buckets):
         known = column[found]
         present[row, known[known >= 0]] = 1
-    difference = np.zeros((len(terms), len(terms)), dtype=np.float32)
-    variance = np.zeros_like(difference)
-    for sign, rows in ((1, labels != 0), (-1, labels == 0)):
-        size, p = int(rows.sum()), present[rows].mean(axis=0)
-        both = present[rows].T @ present[rows] / size
-        covariance, rest = both - np.outer(p, p), 1 - 2 * p
-        square = np.outer(p, p) ** 2 + np.outer(p * p, rest * p) + np.outer(rest * p, p * p)
-        square += np.outer(rest, rest) * both  # mean of the squared centred products
-        independent = np.outer(p * (1 - p), p * (1 - p))
-        difference += sign * covariance
-        variance += np.maximum(square - covariance ** 2, independent) / size
+    classes = [np.flatnonzero(labels != 0), np.flatnonzero(labels == 0)]
+    shares = [present[rows].mean(axis=0, dtype=np.float64) for rows in classes]
     # A pair counts by what it tells beyond the better one of its terms.
-    alone = np.abs(present[labels != 0].mean(axis=0) - present[labels == 0].mean(axis=0))
-    alone /= np.sqrt(varies[terms] * (1 / ones + 1 / (n - ones)))
-    z = np.abs(difference) / np.sqrt(np.maximum(variance, 1e-12)) - np.maximum.outer(alone, alone)
-    z[n * np.outer(share[terms], share[terms]) < config.min_documents] = 0.0  # hardly ever expected
-    np.fill_diagonal(z, 0.0)
-    strongest = z.max(axis=1)
+    alone = np.abs(shares[0] - shares[1]) / np.sqrt(varies[terms] * (1 / ones + 1 / (n - ones)))
+    expected = share[terms]
+    strongest = np.zeros(len(terms))
+    blocks = [slice(at, min(at + PAIR_BLOCK, len(terms)))
+              for at in range(0, len(terms), PAIR_BLOCK)]
+    for i, left in enumerate(blocks):
+        for right in blocks[i:]:
+            difference, variance = 0.0, 0.0
+            for sign, rows, p in zip((1, -1), classes, shares):
+                a, b, size = p[left], p[right], len(rows)
+                both = _together(present, rows, left, right) / size
+                covariance, rest_a, rest_b = both - np.outer(a, b), 1 - 2 * a, 1 - 2 * b
+                square = np.outer(a * a, b * b) + np.outer(a * a, rest_b * b)
+                square += np.outer(rest_a * a, b * b)
+                square += np.outer(rest_a, rest_b) * both  # mean of the squared centred products
+                independent = np.outer(a * (1 - a), b * (1 - b))
+                difference = difference + sign * covariance
+                variance = variance + np.maximum(square - covariance ** 2, independent) / size
+            z = np.abs(difference) / np.sqrt(np.maximum(variance, 1e-12))
+            z -= np.maximum.outer(alone[left], alone[right])
+            hardly = n * np.outer(expected[left], expected[right]) < config.min_documents
+            z[hardly] = 0.0
+            if left == right:
+                np.fill_diagonal(z, 0.0)
+            strongest[left] = np.maximum(strongest[left], z.max(axis=1))
+            strongest[right] = np.maximum(strongest[right], z.max(axis=0))
     order = np.argsort(-strongest, kind="stable")[: config.pair_terms]
     return terms[order[strongest[order] >= config.min_pair_z]]
 
 
+def _together(present: np.ndarray, rows: np.ndarray, left: slice, right: slice) -> np.ndarray:
+    """In how many of the rows each pair of columns is present, from a few rows at a time."""
+    counts = np.zeros((left.stop - left.start, right.stop - right.start))
+    for at in range(0, len(rows), PAIR_ROWS):
+        some = rows[at:at + PAIR_ROWS]
+        counts += present[some, left].astype(np.float32).T @ present[some, right].astype(np.float32)
+    return counts
+
+
 def fit_arrays(labels: np.ndarray, buckets: list[np.ndarray], statistics: np.ndarray,
                config: FmConfig) -> FmModel:
     """Fit on documents held in memory; ``statistics`` has one row per document."""
@@ -209,25 +231,30 @@ def fit_arrays(labels: np.ndarray, buckets: list[np.ndarray], statistics: np.nda
 
     rows = [model.rows_of(found, x) for found, x in zip(buckets, statistics)]
     flat = np.concatenate(rows)
-    document = np.repeat(np.arange(n), [len(r) for r in rows])
+    document = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     model.bias = float(np.log(positive / negative))
     parameters = [np.array([model.bias]), model.linear, model.factors]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in parameters]
     starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])[:-1]])
+    del rows
     for step in range(1, config.epochs + 1):
-        v = model.factors[flat]
-        summed = np.add.reduceat(v, starts, axis=0)
-        squares = np.add.reduceat(v * v, starts, axis=0)
-        logit = (parameters[0][0] + np.add.reduceat(model.linear[flat], starts)
-                 + 0.5 * (summed ** 2 - squares).sum(axis=1))
+        # One factor at a time: what is held grows with the features, not with features x rank.
+        logit = parameters[0][0] + np.add.reduceat(model.linear[flat], starts)
+        summed = []
+        for f in range(config.rank):
+            v = model.factors[flat, f]
+            summed.append(np.add.reduceat(v, starts))
+            v *= v
+            logit += 0.5 * (summed[f] ** 2 - np.add.reduceat(v, starts))
         error = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) / n
         per_feature = error[document]
-        by_factor = per_feature[:, None] * (summed[document] - v)
+        by_factor = [
+            np.bincount(flat, per_feature * (summed[f][document] - model.factors[flat, f]), width)
+            for f in range(config.rank)]
         gradient = [
             np.array([error.sum()]),
             np.bincount(flat, per_feature, width) + config.l2_linear * model.linear,
-            np.stack([np.bincount(flat, by_factor[:, f], width) for f in range(config.rank)], 1)
-            + config.l2_factors * model.factors,
+            np.stack(by_factor, 1) + config.l2_factors * model.factors,
         ]
         for p, g, (mean, square) in zip(parameters, gradient, moments):  # Adam
             mean += 0.1 * (g - mean)
