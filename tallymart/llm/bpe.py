@@ -65,6 +65,13 @@ class _Remembered(dict):
         return ids
 
 
+def _add(first: dict[int, int], others: dict[int, list[int]], rank: int, position: int) -> None:
+    """Put a position into a bucket that has one already."""
+    if position < first[rank]:
+        position, first[rank] = first[rank], position
+    heappush(others.setdefault(rank, []), position)
+
+
 class Codec:
     """Encoder and decoder of one vocabulary; ids are little-endian and have 32 bits."""
 
@@ -73,7 +80,9 @@ class Codec:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pairs = {tuple(token): rank for token, rank in ranks.items() if len(token) == 2}
         self.longest = max(map(len, ranks), default=0)
-        self.bitmap = [0] * ((max(self.tokens, default=0) >> WORD_SHIFT) + 1)
+        words = (max(self.tokens, default=0) >> WORD_SHIFT) + 1
+        self.bitmap = [0] * words
+        self.bit = [1 << i for i in range(max(words, WORD_MASK + 1))]
         self.pattern = regex.compile(pattern)
         self.known = _Remembered(self)
 
@@ -86,58 +95,71 @@ class Codec:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        rank_of, longest, bitmap, n = self.ranks.get, self.longest, self.bitmap, len(piece)
-        buckets: dict[int, list[int]] = {}
+        ranks, rank_of, longest, n = self.ranks, self.ranks.get, self.longest, len(piece)
+        bitmap, bit = self.bitmap, self.bit
+        first: dict[int, int] = {}  # leftmost position of each bucket
+        others: dict[int, list[int]] = {}  # the rest of it, where there is one, as a heap
         summary = 0  # which words of the bitmap are not zero
         after = list(range(1, n + 2))  # the next part of the part that begins here
         before = list(range(-1, n))
-        pair: list[int | None] = [None] * n  # rank of this part and the next as one token
-        for i, both in enumerate(zip(piece, piece[1:])):
-            rank = self.pairs.get(both)
-            if rank is not None:
-                pair[i] = rank
-                if rank in buckets:
-                    buckets[rank].append(i)
-                else:
-                    buckets[rank] = [i]
-                    bitmap[rank >> WORD_SHIFT] |= 1 << (rank & WORD_MASK)
-                    summary |= 1 << (rank >> WORD_SHIFT)
+        # Rank of this part and the next as one token.
+        pair = [*map(self.pairs.get, zip(piece, piece[1:])), None]
+        for i, rank in enumerate(pair):
+            if rank is None:
+                continue
+            if rank in first:
+                others.setdefault(rank, []).append(i)
+            else:
+                first[rank] = i
+                word = rank >> WORD_SHIFT
+                bitmap[word] |= bit[rank & WORD_MASK]
+                summary |= bit[word]
         while summary:
             word = (summary & -summary).bit_length() - 1
-            bits = bitmap[word]
-            rank = (word << WORD_SHIFT) + (bits & -bits).bit_length() - 1
-            bucket = buckets[rank]
-            if len(bucket) > 1:
-                i = heappop(bucket)
+            waiting = bitmap[word]
+            rank = (word << WORD_SHIFT) + (waiting & -waiting).bit_length() - 1
+            if rank in others:
+                i, rest = first[rank], others[rank]
+                first[rank] = heappop(rest)
+                if not rest:
+                    del others[rank]
             else:
-                [i] = buckets.pop(rank)
-                bits &= bits - 1
-                bitmap[word] = bits
-                if not bits:
+                i = first.pop(rank)
+                waiting &= waiting - 1
+                bitmap[word] = waiting
+                if not waiting:
                     summary &= summary - 1
             if pair[i] != rank:
                 continue  # stale: one of the two parts has changed since
             second = after[i]
             end = after[second]
             after[i], before[end], pair[second], pair[i] = end, i, None, None
-            changed = [(i, after[end])] if end < n else []
+            if end < n and after[end] - i <= longest:
+                pair[i] = rank = rank_of(piece[i:after[end]])
+                if rank is not None:
+                    if rank in first:
+                        _add(first, others, rank, i)
+                    else:
+                        first[rank] = i
+                        word = rank >> WORD_SHIFT
+                        bitmap[word] |= bit[rank & WORD_MASK]
+                        summary |= bit[word]
             if i:
-                changed.append((before[i], end))
-            for start, stop in changed:
-                rank = rank_of(piece[start:stop]) if stop - start <= longest else None
-                pair[start] = rank
-                if rank is None:
-                    continue
-                if rank in buckets:
-                    heappush(buckets[rank], start)
-                else:
-                    buckets[rank] = [start]
-                    bitmap[rank >> WORD_SHIFT] |= 1 << (rank & WORD_MASK)
-                    summary |= 1 << (rank >> WORD_SHIFT)
+                left = before[i]
+                pair[left] = rank = rank_of(piece[left:end]) if end - left <= longest else None
+                if rank is not None:
+                    if rank in first:
+                        _add(first, others, rank, left)
+                    else:
+                        first[rank] = left
+                        word = rank >> WORD_SHIFT
+                        bitmap[word] |= bit[rank & WORD_MASK]
+                        summary |= bit[word]
         ids, at = [], 0
         while at < n:
-            ids.append(self.ranks[piece[at:after[at]]])
-            at = after[at]
+            end = after[at]
+            ids.append(ranks[piece[at:end]])
+            at = end
         return ids
 
     def encode(self, text: str | None) -> bytes:
