@@ -13,6 +13,7 @@ from __future__ import annotations
 import bisect
 import os
 import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -43,8 +44,11 @@ class WordEncoder:
     of a text are those of its words one after the other. ASCII letters are lower-cased and ASCII
     white space is split beforehand; whatever else the normaliser does stays with the tokenizer. A
     word of letters with ASCII punctuation after it is two parts (the apostrophe can start a
-    contraction, so such words are kept whole). All new words of letters are encoded in one call:
-    each is one part, and the last token of a part is one with the end-of-word mark.
+    contraction, so such words are kept whole; so are words that normalising turns into letters and
+    marks, as marks belong to the punctuation after them). All new words of letters are encoded in
+    one call: each is one part, and the last token of a part is one with the end-of-word mark.
+    Tokens that the file adds to the vocabulary are found before lower-casing and need no spaces
+    around them; texts that hold the letters of one, in any case, are encoded as a whole.
     """
 
     PUNCTUATION = string.punctuation.replace("'", "").encode()
@@ -58,6 +62,8 @@ class WordEncoder:
         for token, number in self.tokenizer.get_vocab().items():
             if token.endswith("</w>"):
                 self.ends[number] = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode().lower() for t in added if t.content]
         # Words of the last batches and of those before; the older half goes when the other is full.
         self.recent: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -77,7 +83,7 @@ class WordEncoder:
         letters, others, split = set(), set(), []
         for word in words:
             stem = word.rstrip(self.PUNCTUATION)
-            if stem.decode().isalpha():
+            if stem.isalpha() if stem.isascii() else _letters(stem.decode()):
                 letters.add(stem)
                 if len(stem) < len(word):
                     split.append((word, stem, word[len(stem):]))
@@ -101,8 +107,10 @@ class WordEncoder:
         return ids
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        words = [b"" if t is None else t.encode("utf-8", "replace").lower() for t in texts]
-        words = [w.split() for w in words]
+        lowered = [b"" if t is None else t.encode("utf-8", "replace").lower() for t in texts]
+        whole = {i: self._ids([texts[i]])[0] for i, text in enumerate(lowered)
+                 if any(token in text for token in self.added)}
+        words = [[] if i in whole else text.split() for i, text in enumerate(lowered)]
         if len(self.recent) > CACHE_WORDS // 2:
             self.older, self.recent = self.recent, {}
         distinct = set().union(*words) if words else set()
@@ -112,13 +120,18 @@ class WordEncoder:
         missing.difference_update(again)
         learnt = self._learn(missing) if missing else {}
         self.recent.update(learnt)
-        for parts in words:
-            yield b"".join(map(self.recent.__getitem__, parts))
+        for i, parts in enumerate(words):
+            yield whole[i] if i in whole else b"".join(map(self.recent.__getitem__, parts))
         for word in learnt:
             if len(word) > CACHE_WORD_BYTES:
                 del self.recent[word]
 
 
+def _letters(word: str) -> bool:
+    """All letters, also after the tokenizer's normaliser."""
+    return word.isalpha() and unicodedata.normalize("NFC", word).lower().isalpha()
+
+
 def encoder(path: str) -> WordEncoder:
     """One per worker process and file."""
     if path not in _encoders:

@@ -1,5 +1,7 @@
 """Hilbert shards, Poisson mixing and packing."""
 
+import random
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -113,6 +115,26 @@ def test_the_draw_does_not_depend_on_partitions(spark, sf_small):
     assert order != sorted(order)
 
 
+def test_mixing_keeps_the_values_of_the_caller_s_columns(spark):
+    docs = documents(spark, [(i, f"text {i}") for i in range(30)])
+    for name in ("rate", "copy", "copies", "shuffle_key", "_source", "doc", "row", "_place",
+                 "position", "a.b"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    own = {r["doc_id"]: tuple(r) for r in docs.collect()}
+    mixed = poisson.mixed(docs, total=90)
+    assert mixed.columns == docs.columns
+    rows = mixed.collect()
+    assert rows and all(tuple(r) == own[r["doc_id"]] for r in rows)
+
+
+def test_rows_without_ids_are_mixed_by_rate(spark):
+    rows = [(None, f"text {i}", "en", f"src{i % 2}", 1) for i in range(1000)]
+    for seed in (17, 18, 19):
+        counts = Counter(r["source"] for r in poisson.mix(
+            documents(spark, rows), {"src0": 1.0, "src1": 1.0}, total=1000, seed=seed).collect())
+        assert all(abs(counts[s] - 500) < 4 * 500 ** 0.5 for s in ("src0", "src1"))
+
+
 def test_mixing_awkward_rows(spark):
     docs = awkward_documents(spark)
     mixed = poisson.mix(docs, total=1000).collect()
@@ -156,6 +178,34 @@ def test_ids_equal_the_tokenizer_s():
         assert got == [ids[:-1] for ids in plain_ids(TEXTS)]
 
 
+def test_every_letter_before_and_after_punctuation():
+    encoder = packing.WordEncoder(registry.tokenizer_path())
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    known = [chr(c) for c in range(128, 0x3000)
+             if unicodedata.category(chr(c))[0] in "LM"] + list("aZ")
+    texts = [f"ab{c}{m}{c}b {m}{c}{m}" for i, c in enumerate(known)
+             for m in (marks[i % len(marks)], ".", "<", "'", "_")]
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert got == [ids[:-1] for ids in plain_ids(texts)]
+
+
+def test_added_tokens_in_any_case():
+    encoder = packing.WordEncoder(registry.tokenizer_path())
+    texts = ["a<|endoftext|>b", "<|ENDOFTEXT|>", "x <|EndOfText|>, y", "<|startoftext|> <|", "<|end",
+             "AB <|startoftext|><|endoftext|>.", "one <|STARTOFTEXT|>two"]
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert got == [ids[:-1] for ids in plain_ids(texts)]
+
+
+def test_random_texts_equal_the_tokenizer_s():
+    rng = random.Random(12)
+    letters = "abcXYZ àéßİıſ য়ড়क़ख़ਸ਼ଡ଼གྷ中文か\u0301\u0307 .,;!?<|>'_-\"()\n\t\u00a0\u200d0129"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 25))) for _ in range(30_000)]
+    encoder = packing.WordEncoder(registry.tokenizer_path())
+    got = [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)]
+    assert got == [ids[:-1] for ids in plain_ids(texts)]
+
+
 def test_ids_do_not_depend_on_the_cache(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 4)
     encoder = packing.WordEncoder(registry.tokenizer_path())
