@@ -71,12 +71,12 @@ steps AS (
 drawn AS (
   SELECT d.*, s.rate,
          len(list_filter(s.below, lambda x: x < u))::INTEGER AS copies
-  FROM (SELECT *, (('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT
+  FROM (SELECT *, (('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '#' || md5(coalesce(text, '')))), 1, 13))::BIGINT
                    + 0.5::DOUBLE) / 4503599627370496 AS u FROM documents) d
   JOIN steps s ON s.source IS NOT DISTINCT FROM d.source),
 copied AS (SELECT *, unnest(generate_series(1, copies)) AS n FROM drawn)
 SELECT doc_id, text, lang, source, n_chars, round(rate, 6) AS rate, copies, n::INTEGER AS copy,
-       ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '') || '|' || n), 1, 15))::BIGINT
+       ('0x' || substr(md5('17|' || coalesce(doc_id::VARCHAR, '#' || md5(coalesce(text, ''))) || '|' || n), 1, 15))::BIGINT
          AS shuffle_key
 FROM copied
 """,

@@ -77,43 +77,56 @@ def source_rates(documents: DataFrame, weights: Mapping[str, float] | None, tota
     return weighed.select("source", rate.alias("rate"))
 
 
-def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
-        total: int | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
-    """Columns of ``documents`` (doc_id, source and whatever else), and rate, copies, copy and
-    shuffle_key, in shuffled order.
-
-    ``weights`` are target weights by source (sources that it leaves out get none); without them
-    weights follow the temperature. ``total`` is the expected number of rows, by default that of
-    ``documents``.
+def _copies(documents: DataFrame, weights: Mapping[str, float] | None, total: int | None,
+            temperature: float, seed: int) -> DataFrame:
+    """row (a struct of all columns), rate, copies, copy and shuffle_key, in shuffled order.
 
-    Defined cases: a NULL source is a source of its own, without weight if weights are declared;
-    NULL ids and texts take part like others; repeated rows draw the same count, as rows cannot be
-    told apart by anything but doc_id; an empty table gives an empty result; columns named like a
-    result column are replaced by it.
+    Rows travel as one struct, so that no column of theirs can clash with another one.
     """
     spark = documents.sparkSession
-    added = ("rate", "copies", "copy", "shuffle_key")
-    own = [c for c in documents.columns if c.lower() not in added]
     rates = source_rates(documents, weights, total, temperature)
-    named = rates.select(F.col("source").alias("_source"), "rate")
     few = rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    sourced = documents.select(*own).join(
-        F.broadcast(named) if few else named, F.col("source").eqNullSafe(F.col("_source")))
-    doc = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+        F.coalesce(F.col("doc_id").cast("string"), F.concat(
+            F.lit("#"), F.md5(F.coalesce("text", F.lit("")).cast("binary")))).alias("doc"))
+    sourced = rows.join(F.broadcast(rates) if few else rates,
+                        F.col("row.source").eqNullSafe(F.col("source")))
     drawn = sourced.withColumn(
-        "copies", inverse_poisson(uniform(F.lit(str(seed)), doc), F.col("rate")))
+        "copies", inverse_poisson(uniform(F.lit(str(seed)), F.col("doc")), F.col("rate")))
     copied = drawn.where(F.col("copies") > 0).withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     keyed = copied.withColumn(
-        "shuffle_key", hashed(15, F.lit(str(seed)), doc, F.col("copy").cast("string")))
+        "shuffle_key", hashed(15, F.lit(str(seed)), F.col("doc"), F.col("copy").cast("string")))
     # Hashed keys deal evenly without sampling the texts first; the sort orders each part.
-    dealt = keyed.repartition(shuffle_partitions(spark), "shuffle_key").sortWithinPartitions(
-        "shuffle_key", "doc_id", "copy")
-    return dealt.select(*own, *added)
+    return keyed.repartition(shuffle_partitions(spark), "shuffle_key").sortWithinPartitions(
+        "shuffle_key", "row.doc_id", "copy").select("row", *ADDED)
+
+
+ADDED = ("rate", "copies", "copy", "shuffle_key")
+
+
+def mix(documents: DataFrame, weights: Mapping[str, float] | None = None,
+        total: int | None = None, temperature: float = TEMPERATURE, seed: int = SEED) -> DataFrame:
+    """Columns of ``documents`` (doc_id, text, source and whatever else), and rate, copies, copy and
+    shuffle_key, in shuffled order.
+
+    ``weights`` are target weights by source (sources that it leaves out get none); without them
+    weights follow the temperature. ``total`` is the expected number of rows, by default that of
+    ``documents``.
+
+    Defined cases: a NULL source is a source of its own, without weight if weights are declared;
+    NULL texts take part like others; rows without an id draw by their text; repeated rows draw the
+    same count, as they cannot be told apart; an empty table gives an empty result; columns named
+    like a result column are replaced by it (:func:`mixed` keeps them).
+    """
+    own = [c for c in documents.columns if c.lower() not in ADDED]
+    copies = _copies(documents, weights, total, temperature, seed)
+    return copies.select(*[F.col("row").getField(c).alias(c) for c in own], *ADDED)
 
 
 def mixed(documents: DataFrame, weights: Mapping[str, float] | None = None,
           total: int | None = None) -> DataFrame:
-    """The copies alone, with the columns of ``documents``."""
-    return mix(documents, weights, total).select(*documents.columns)
-
+    """The copies alone, with the columns of ``documents`` and their values."""
+    copies = _copies(documents, weights, total, TEMPERATURE, SEED)
+    return copies.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])
