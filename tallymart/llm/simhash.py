@@ -209,20 +209,33 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOC
 
 def _classes(documents: DataFrame, shingle_words: int, max_bits: int, blocks: int, leaf_rows: int,
              tile_rows: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) of every row, and (fp, root, component_id) of every distinct fingerprint."""
+    """(doc_id, row_hash, fp) of every row, and (fp, root, component_id, first_row) of every
+    distinct fingerprint; first_row is the row_hash of a row with the component's smallest id."""
     bound_batches(documents.sparkSession)
     folder = scratch_dir(documents.sparkSession, "simhash")
     marked = write_and_read(
-        documents.select("doc_id", fingerprint_column(shingle_words).alias("fp")),
+        documents.select("doc_id", _row_hash(), fingerprint_column(shingle_words).alias("fp")),
         f"{folder}/fingerprints")
     distinct = write_and_read(
-        marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), f"{folder}/distinct")
+        marked.groupBy("fp").agg(F.min(_first()).alias("first")), f"{folder}/distinct")
     links = near_links(distinct, max_bits, blocks, leaf_rows, tile_rows)
     roots = components(links, "simhash/components")
     classes = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    smallest = classes.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return marked, classes.join(smallest, "root").select("fp", "root", "component_id")
+        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    smallest = classes.groupBy("root").agg(F.min("first").alias("least"))
+    return marked, classes.join(smallest, "root").select(
+        "fp", "root", F.col("least.doc_id").alias("component_id"),
+        F.col("least.row_hash").alias("first_row"))
+
+
+def _row_hash() -> Column:
+    """Tells apart the texts of a reused doc_id."""
+    return F.xxhash64("doc_id", "text").alias("row_hash")
+
+
+def _first() -> Column:
+    """Orders rows by doc_id with NULL last, then by their hash."""
+    return F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "row_hash")
 
 
 def near_duplicates(documents: DataFrame, shingle_words: int = SHINGLE_WORDS,
@@ -250,18 +263,16 @@ def keep_one(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits:
              tile_rows: int = TILE_ROWS) -> DataFrame:
     """One row of every component, that of the smallest doc_id, with all its columns.
 
-    Of repeated rows with that id one stays; where all ids of a component are NULL, one of its rows.
+    Of repeated rows with that id and text one stays; of a doc_id with several texts every
+    component keeps a row of its own; where all ids of a component are NULL, one of its rows stays.
     """
-    columns = documents.columns
-    marked, classes = _classes(documents, shingle_words, max_bits, blocks, leaf_rows, tile_rows)
-    first = classes.where(F.col("component_id").isNotNull()).select(
-        F.col("component_id").alias("doc_id"))
-    named = documents.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    nameless = (
-        documents.where(F.col("doc_id").isNull())
-        .withColumn("_fp", fingerprint_column(shingle_words))
-        .join(classes.where(F.col("component_id").isNull())
-              .select(F.col("fp").alias("_fp"), F.col("root").alias("_root")), "_fp")
-        .dropDuplicates(["_root"])
-    )
-    return named.select(*columns).unionByName(nameless.select(*columns))
+    _, classes = _classes(documents, shingle_words, max_bits, blocks, leaf_rows, tile_rows)
+    chosen = classes.select(F.col("component_id").alias("doc_id"),
+                            F.col("first_row").alias("row_hash")).distinct()
+    # Rows travel as one struct, so that no column of theirs can clash with another one.
+    rows = documents.select(
+        F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"), "doc_id", _row_hash())
+    matches = rows.doc_id.eqNullSafe(chosen.doc_id) & (rows.row_hash == chosen.row_hash)
+    kept = rows.join(chosen, matches, "left_semi").groupBy("doc_id", "row_hash").agg(
+        F.first("row").alias("row"))
+    return kept.select(*[F.col("row").getField(c).alias(c) for c in documents.columns])

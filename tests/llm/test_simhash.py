@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tallymart.llm import simhash
 from tests.llm.frames import awkward_documents, collected, documents
@@ -119,3 +120,19 @@ def test_rows_without_ids_are_told_apart_by_fingerprint(spark):
                              (None, "alpha beta gamma delta epsilon"),
                              (None, "something else altogether in here")])
     assert simhash.keep_one(docs).count() == 2
+
+
+def test_a_reused_id_loses_no_component(spark):
+    one, two = "alpha beta gamma delta epsilon", "quite another text that nobody else has"
+    docs = documents(spark, [(1, one), (1, two), (2, two), (3, one), (1, one)])
+    kept = collected(simhash.keep_one(docs), "doc_id", "text")
+    assert kept == [(1, one), (1, two)]
+
+
+def test_clashing_columns_keep_their_values(spark):
+    docs = documents(spark, [(1, "alpha beta"), (2, "gamma delta")])
+    for name in ("_fp", "_root", "fp", "row", "row_hash", "root", "component_id", "a.b"):
+        docs = docs.withColumn(name, F.concat(F.lit(name), F.col("doc_id").cast("string")))
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, docs.collect()))
