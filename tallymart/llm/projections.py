@@ -4,14 +4,14 @@ Equal vectors are first drawn together into classes. Every pass orders the class
 key of concatenated random hashes, the signs of seeded projections of the vectors without their
 label's mean, and compares all classes of a block of that order; pairs whose cosine reaches the
 threshold, in double precision and of the raw vectors, are links, and the links of all passes are
-united. Blocks have equal row counts and overlap by one window, so the tasks of a pass are equal
-however the keys are distributed.
+united. Blocks have equal row counts and overlap by one window, so that no task of a pass holds more
+than a block however the keys are distributed.
 
 The passes of a label follow its size and shape: a sample of its vectors says how many signs part a
 class from all but a fraction of a block, and how often a pair at the threshold agrees in as many;
-passes are added until such a pair is missed with probability ``miss``. Where comparing all pairs
-costs no more, all pairs are compared, in tiles: labels of at most ``exact`` classes, and labels so
-dense that the passes would compare as much.
+passes are added until such a pair is missed with probability ``miss``. Blocks are counted from the
+first class of the label, so a label that fits into one block needs one pass, which compares all its
+classes. Beyond that there is no other way than passes, whatever they cost.
 
 Blocks bound candidates, not results: within every component that was found, tiles of
 at most ``tile`` by ``tile`` classes then compare all classes with all others, so that the links in
@@ -38,8 +38,6 @@ SIGNS = 62  # hashes concatenated into a key
 WINDOW = 64
 BLOCK = 1024
 TILE = 1024
-EXACT = 16_384  # classes of a label whose pairs are all compared
-ALONE, TILES = 512, 8  # classes that one task compares; least tiles of a label beyond
 MISS = 1e-4  # share of pairs at the threshold that a large label may lose
 SAMPLE = 1024  # classes that tell the shape of a label
 SEED = 5
@@ -70,6 +68,8 @@ def passes_needed(unit: np.ndarray, classes: int, threshold: float, least: int,
     A class shares its first L signs with a share of the others that their angles tell; where that
     leaves a quarter of a block, a partner that agrees in L signs lies in the same block.
     """
+    if classes <= block:
+        return 1
     centred = unit - unit.mean(axis=0)
     norms = np.maximum(np.sqrt((centred * centred).sum(axis=1)), 1e-12)
     turned = centred / norms[:, None]
@@ -89,25 +89,26 @@ def passes_needed(unit: np.ndarray, classes: int, threshold: float, least: int,
 
 
 def label_plans(classes: DataFrame, threshold: float, passes: int, signs: int, block: int,
-                exact: int, miss: float) -> DataFrame:
-    """label, size, classes, centre and passes per label and length; 0 passes: compare all pairs."""
+                miss: float) -> DataFrame:
+    """label, size, classes, centre and passes per label and length."""
     label = classes.schema["label"].dataType.simpleString()
     sizes = classes.groupBy("label", "size").agg(F.count("*").alias("classes"))
     drawn = F.pmod(F.xxhash64("class_id"), F.col("classes")) < SAMPLE
-    sample = classes.join(sizes.where(F.col("classes") > exact), ["label", "size"]).where(drawn)
+    sample = classes.join(sizes, ["label", "size"]).where(drawn)
 
     def plan(rows: pd.DataFrame) -> pd.DataFrame:
         unit, n = unit_rows(rows["embedding"]), int(rows["classes"].iloc[0])
         needed = passes_needed(unit, n, threshold, passes, signs, block, miss)
         return pd.DataFrame({"label": rows["label"].iloc[:1], "size": rows["size"].iloc[:1],
-                             "centre": [unit.mean(axis=0).tolist()],
-                             "passes": [needed if needed * block < n else 0]})
+                             "centre": [unit.mean(axis=0).tolist()], "passes": [needed]})
 
     shapes = sample.select("label", "size", "classes", "embedding").groupBy(
         "label", "size").applyInPandas(
             plan, f"label {label}, size int, centre array<double>, passes int")
-    return sizes.join(shapes, ["label", "size"], "left").withColumn(
-        "passes", F.coalesce("passes", F.lit(0)))
+    # A label of which the sample holds nothing (hashes can be unlucky) takes the least passes.
+    return sizes.join(shapes, ["label", "size"], "left").withColumns({
+        "passes": F.coalesce("passes", F.lit(passes)),
+        "centre": F.coalesce("centre", F.array_repeat(F.lit(0.0), F.col("size")))})
 
 
 def sort_keys(classes: DataFrame, signs: int, seed: int) -> DataFrame:
@@ -148,6 +149,9 @@ def window_links(keyed: DataFrame, threshold: float, window: int, block: int) ->
     spark = keyed.sparkSession
     order = ["sweep", "label", "size", "sort_key", "class_id"]
     placed, _ = with_positions(keyed, order, shuffle_partitions(spark), "projections")
+    run = ["sweep", "label", "size"]
+    first = placed.groupBy(*run).agg(F.min("position").alias("start"))
+    placed = placed.join(first, run).withColumn("position", F.col("position") - F.col("start"))
     number = F.expr(f"position div {block}")
     # The first rows of a block are also the tail of the block before it.
     homes = F.when(F.col("position") % block < window, F.array(number, number - 1)).otherwise(
@@ -155,35 +159,10 @@ def window_links(keyed: DataFrame, threshold: float, window: int, block: int) ->
     blocks = placed.withColumn("block", F.explode(homes)).where(F.col("block") >= 0)
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("position")
-        return pd.concat([
-            forest_of(part["class_id"].to_numpy(), unit_rows(part["embedding"]), threshold)
-            for _, part in rows.groupby(["sweep", "label", "size"], sort=False)])
-
-    return blocks.groupBy("block").applyInPandas(compare, "a long, b long").distinct()
-
-
-def all_links(classes: DataFrame, threshold: float, tile: int) -> DataFrame:
-    """Links (a, b) that connect all linked classes of each label.
-
-    A label is cut into tiles; a task compares the classes of two of them. ``classes`` has the
-    number of classes of the label beside each class.
-    """
-    tiles = F.when(F.col("classes") <= ALONE, 2).otherwise(
-        F.greatest(F.lit(TILES), F.ceil(F.col("classes") / tile)))
-    cut = classes.withColumn("tiles", tiles.cast("int"))
-    own = F.pmod(F.xxhash64("class_id"), F.col("tiles").cast("long")).cast("int")
-    others = F.explode(F.filter(F.sequence(F.lit(0), F.col("tiles") - 1),
-                                lambda other: other != F.col("own")))
-    pairs = cut.withColumn("own", own).withColumn("other", others).select(
-        "label", "size", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
-        "class_id", "embedding")
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("class_id")
         return forest_of(rows["class_id"].to_numpy(), unit_rows(rows["embedding"]), threshold)
 
-    return pairs.groupBy("label", "size", "x", "y").applyInPandas(
-        compare, "a long, b long").distinct()
+    return blocks.groupBy(*run, "block").applyInPandas(compare, "a long, b long").distinct()
 
 
 def link_counts(members: DataFrame, threshold: float, tile: int) -> DataFrame:
@@ -230,8 +209,7 @@ def link_counts(members: DataFrame, threshold: float, tile: int) -> DataFrame:
 
 def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, passes: int = PASSES,
                     signs: int = SIGNS, window: int = WINDOW, block: int = BLOCK,
-                    tile: int = TILE, seed: int = SEED, exact: int = EXACT,
-                    miss: float = MISS) -> DataFrame:
+                    tile: int = TILE, seed: int = SEED, miss: float = MISS) -> DataFrame:
     """vec_id, n_links, component_id and kept of every row of ``embeddings``.
 
     Vectors are compared if their labels are equal and not NULL and their lengths are equal.
@@ -252,13 +230,10 @@ def near_duplicates(embeddings: DataFrame, threshold: float = THRESHOLD, passes:
         .agg(F.count("*").alias("copies"), F.min("vec_id").alias("first_id"))
         .withColumn("class_id", F.monotonically_increasing_id()), f"{folder}/classes")
     sized = classes.withColumn("size", F.size("embedding"))
-    plans = write_and_read(label_plans(sized, threshold, passes, signs, block, exact, miss),
+    plans = write_and_read(label_plans(sized, threshold, passes, signs, block, miss),
                            f"{folder}/plans")
     planned = sized.join(plans, ["label", "size"])
-    links = all_links(planned.where("passes = 0"), threshold, tile)
-    if plans.where("passes > 0").limit(1).count():
-        keyed = sort_keys(planned.where("passes > 0"), signs, seed)
-        links = links.unionByName(window_links(keyed, threshold, window, block))
+    links = window_links(sort_keys(planned, signs, seed), threshold, window, block)
     roots = components(links, "projections/components").withColumnRenamed("node", "class_id")
     linked_classes = roots.unionByName(
         roots.select("root").distinct().select(F.col("root").alias("class_id"), "root"))
