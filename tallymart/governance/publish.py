@@ -1,9 +1,10 @@
 """Write, audit, publish: marts go live together, and only if every check passes.
 
-Every attempt of a run writes its marts to a folder that no other attempt uses. Going live is one
-appended line in the publication log, which names that folder; readers follow the newest line. A
-failed attempt appends nothing, whatever its run id, so the last good version stays live, and no
-reader ever sees a half-written mart. Folders that no line names can be deleted.
+Every attempt of a run writes its marts to folders that no other attempt uses. Going live is one
+numbered entry in the publication log, which names the attempt; readers follow the newest entry. A
+failed attempt adds none, whatever its run id, so the last good version stays live, and no reader
+ever sees a half-written mart. Publishers may run at the same time: each gets a version of its own.
+Folders that no entry names can be deleted.
 """
 
 from __future__ import annotations
@@ -11,20 +12,19 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.plans.layers import MARTS, Layers
 from tallymart.quality.checks import REPORT_SCHEMA, gate_summary
 from tallymart.quality.suites import Bands, all_reports
-from tallymart.sources.exchange import export_parquet, write_json
+from tallymart.sources.commits import CommitLog
+from tallymart.sources.exchange import write_json
 from tallymart.sources.landing import append_load_report, load_raw, read_raw
 from tallymart.workspace import side_by_side
 
-LOG_SCHEMA = "version bigint, run_id string, folder string, published_at timestamp_ntz"
-
 
 class GateClosed(Exception):
     """Checks failed; ``failures`` lists them and nothing was published.
@@ -39,7 +39,11 @@ class GateClosed(Exception):
 
 
 def mart_path(root: str, folder: str, mart: str) -> str:
-    return f"{root.rstrip('/')}/runs/{folder}/{mart}"
+    return f"{root.rstrip('/')}/marts/{mart}/attempt={folder}"
+
+
+def publications(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, f"{root.rstrip('/')}/published")
 
 
 def write_marts(layers: Layers, root: str, folder: str) -> dict[str, DataFrame]:
@@ -49,11 +53,11 @@ def write_marts(layers: Layers, root: str, folder: str) -> dict[str, DataFrame]:
     written table, so the line table is rolled up once.
     """
     spark = layers.fct_orders.sparkSession
-    run_dir = mart_path(root, folder, "").rstrip("/")
-    export_parquet({"fct_orders": layers.fct_orders}, run_dir)
+    layers.fct_orders.write.mode("error").parquet(mart_path(root, folder, "fct_orders"))
     orders = spark.read.parquet(mart_path(root, folder, "fct_orders"))
     built = Layers(layers.raw, written_orders=orders)
-    export_parquet({m: built.mart(m) for m in MARTS if m != "fct_orders"}, run_dir)
+    side_by_side(partial(built.mart(m).write.mode("error").parquet, mart_path(root, folder, m))
+                 for m in MARTS if m != "fct_orders")
     return read_run(spark, root, folder)
 
 
@@ -91,43 +95,31 @@ def publish(
 ) -> DataFrame:
     """Write the marts, check them, and make them live; returns the quality report.
 
-    Raises :class:`GateClosed` if any check fails. One publisher writes to a root at a time.
+    Raises :class:`GateClosed` if any check fails. Of publishers that run at the same time the one
+    that is checked last goes live last; all of their versions stay in the log.
     """
-    folder = f"{run_id}/{uuid.uuid4().hex}"
+    folder = f"{run_id}-{uuid.uuid4().hex}"
     marts = write_marts(layers, root, folder)
     report = audit(layers, marts, bands)
-    write_json(report, mart_path(root, folder, "_quality_report"))
-    spark = report.sparkSession
+    write_json(report, f"{root.rstrip('/')}/reports/{folder}")
     if not gate_summary(report).first()["gate_open"]:
         failed = report.filter(~F.col("success")).collect()
         raise GateClosed(run_id, folder, [
             f"{r.table_name}.{r.column_name} {r.check_name}" for r in failed])
-    newest = _newest(spark, root)
-    version = newest["version"] + 1 if newest else 1
-    line = spark.createDataFrame([(version, run_id, folder, now)], LOG_SCHEMA)
-    line.coalesce(1).write.mode("append").json(f"{root.rstrip('/')}/published")
+    publications(report.sparkSession, root).commit(
+        lambda _: {"run_id": run_id, "folder": folder, "published_at": now.isoformat()})
     return report
 
 
-def _newest(spark: SparkSession, root: str):
-    try:
-        log = spark.read.schema(LOG_SCHEMA).json(f"{root.rstrip('/')}/published")
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-    return log.orderBy(F.desc("version")).first()
-
-
 def live_run(spark: SparkSession, root: str) -> str | None:
     """The run readers should use, or None before the first publication."""
-    newest = _newest(spark, root)
+    newest = publications(spark, root).newest()
     return newest["run_id"] if newest else None
 
 
 def live_folder(spark: SparkSession, root: str) -> str:
     """The folder of the live marts."""
-    newest = _newest(spark, root)
+    newest = publications(spark, root).newest()
     if newest is None:
         raise LookupError(f"nothing is published under {root}")
     return newest["folder"]
@@ -139,15 +131,22 @@ def live_marts(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def attach_marts(spark: SparkSession, root: str, database: str = "main_marts") -> list[str]:
-    """Views ``<database>.<mart>`` over the live run, for SQL consumers.
+    """Views ``<database>.<mart>`` over the live marts, for SQL consumers.
 
-    Called after a publication; a view reads files and gives nobody a way to write them.
+    A view looks up the newest publication whenever it is queried: all of them switch together, also
+    within one statement, and none has to be made anew. They read files and give nobody a way to
+    write them.
     """
-    folder = live_folder(spark, root)
+    live_folder(spark, root)  # something has to be published
+    log = f"text.`{root.rstrip('/')}/published`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for mart in MARTS:
-        path = mart_path(root, folder, mart)
-        spark.sql(f"CREATE OR REPLACE VIEW {database}.{mart} AS SELECT * FROM parquet.`{path}`")
+        spark.sql(f"""
+            CREATE OR REPLACE VIEW {database}.{mart} AS
+            SELECT * EXCEPT (attempt) FROM parquet.`{root.rstrip('/')}/marts/{mart}`
+            WHERE attempt = (
+                SELECT max_by(get_json_object(value, '$.folder'),
+                              CAST(get_json_object(value, '$.version') AS BIGINT)) FROM {log})""")
     return [f"{database}.{mart}" for mart in MARTS]
 
 

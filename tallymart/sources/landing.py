@@ -1,9 +1,11 @@
 """Landing of CSV drops as raw Parquet tables with audit columns.
 
-A load writes its tables to a batch folder of its own. When all of them are in, one appended entry
-per load says which tables the batch replaces; readers follow the newest entry of each table. A load
-that fails appends nothing, so the tables before it stay readable and consistent with each other.
-Batch folders that no newest entry names can be deleted.
+A load writes its tables to a batch folder of its own. When all of them are in, one numbered entry
+says which batch each table is read from; readers follow the newest entry, or an earlier one. A load
+that fails adds none, so the tables before it stay readable and consistent with each other. Loads
+may run at the same time: each adds its tables to whatever is newest when it ends.
+
+:func:`forget_before` ends the life of old versions and deletes the folders that only they name.
 """
 
 from __future__ import annotations
@@ -18,10 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallymart.functions.timestamps import naive_literal
+from tallymart.sources.commits import CommitLog, remove
 from tallymart.specs import RAW_TABLES
 from tallymart.workspace import side_by_side
 
-CURRENT_SCHEMA = "version bigint, batch string, tables array<string>"
+VERSIONS_SCHEMA = "version bigint, loaded_at timestamp_ntz, tables array<string>"
 LOAD_REPORT_SCHEMA = "table_name string, rows bigint, status string, loaded_at timestamp_ntz"
 
 
@@ -29,6 +32,10 @@ class MissingSource(Exception):
     """A source folder or, in strict mode, an expected table file is missing."""
 
 
+class VersionGone(LookupError):
+    """A version that was never there or is not kept any more."""
+
+
 class MissingColumn(Exception):
     """A declared column is not in the header of the file."""
 
@@ -105,8 +112,7 @@ def load_raw(
 
     Missing files are reported as skipped, or abort the load before anything is written in strict
     mode; a skipped table stays as it was. All tables of the load are replaced together, after the
-    last one is in. Landing the same files again gives the same tables. One load writes to a folder
-    at a time.
+    last one is in. Landing the same files again gives the same tables.
     """
     if not _exists(spark, source_dir):
         raise MissingSource(f"source folder not found: {source_dir}")
@@ -121,9 +127,9 @@ def load_raw(
         partial(load_table, spark, paths[name], name, batch_path(raw_dir, batch, name), stamp)
         for name in present
     )))
-    version = max((entry["version"] for entry in _entries(spark, raw_dir)), default=0) + 1
-    spark.createDataFrame([(version, batch, present)], CURRENT_SCHEMA).coalesce(1).write.mode(
-        "append").json(f"{raw_dir.rstrip('/')}/_current")
+    versions_of(spark, raw_dir).commit(lambda newest: {
+        "tables": {**(newest["tables"] if newest else {}), **dict.fromkeys(present, batch)},
+        "loaded_at": stamp.isoformat(), "oldest": newest["oldest"] if newest else 1})
     report = [
         (name, landed[name], "loaded", stamp) if name in landed else (name, None, "skipped", None)
         for name in paths
@@ -135,22 +141,63 @@ def batch_path(raw_dir: str, batch: str, table: str) -> str:
     return f"{raw_dir.rstrip('/')}/batches/{batch}/{table}"
 
 
-def _entries(spark: SparkSession, raw_dir: str) -> list:
-    """One entry per load, oldest first."""
-    path = f"{raw_dir.rstrip('/')}/_current"
-    if not _exists(spark, path):
-        return []
-    return spark.read.schema(CURRENT_SCHEMA).json(path).orderBy("version").collect()
+def versions_of(spark: SparkSession, raw_dir: str) -> CommitLog:
+    return CommitLog(spark, f"{raw_dir.rstrip('/')}/versions")
 
 
-def read_raw(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
-    """The landed raw tables that exist."""
-    batches = {table: entry["batch"] for entry in _entries(spark, raw_dir)
-               for table in entry["tables"]}
+def read_raw(spark: SparkSession, raw_dir: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The landed raw tables that exist, as of a version or the newest one."""
+    log = versions_of(spark, raw_dir)
+    entry = log.newest()
+    if version is not None:
+        if entry is None or not entry["oldest"] <= version <= entry["version"]:
+            raise VersionGone(f"version {version} of {raw_dir}")
+        entry = log.read(version)
+    batches = entry["tables"] if entry else {}
     return {name: spark.read.parquet(batch_path(raw_dir, batches[name], name))
             for name in RAW_TABLES if name in batches}
 
 
+def raw_versions(spark: SparkSession, raw_dir: str) -> DataFrame:
+    """The versions that can be read, one row each, with the tables that they replaced."""
+    log, before, rows = versions_of(spark, raw_dir), {}, []
+    oldest = (log.newest() or {"oldest": 1})["oldest"]
+    for version in log.versions():
+        entry = log.read(version)
+        changed = sorted(t for t, b in entry["tables"].items() if before.get(t) != b)
+        before = entry["tables"]
+        if version >= oldest:
+            rows.append((version, dt.datetime.fromisoformat(entry["loaded_at"]), changed))
+    return spark.createDataFrame(rows, VERSIONS_SCHEMA)
+
+
+def forget_before(spark: SparkSession, raw_dir: str, version: int) -> list[str]:
+    """Give up the versions before ``version`` and delete what only they name.
+
+    First an entry says that they are gone, then folders are deleted; a call that was interrupted is
+    made good by the next one. Folders of loads that have yet to end are named by no entry and stay.
+    Returns the deleted folders.
+    """
+    log = versions_of(spark, raw_dir)
+
+    def shortened(newest: dict | None) -> dict:
+        if newest is None or not newest["oldest"] <= version <= newest["version"]:
+            raise VersionGone(f"version {version} of {raw_dir}")
+        return {**newest, "oldest": version}
+
+    last = log.commit(shortened)["version"]
+    named: dict[bool, set[tuple[str, str]]] = {False: set(), True: set()}
+    for number in log.versions():
+        # Whatever later entries name is new or in the last one.
+        named[version <= number <= last].update(
+            (batch, table) for table, batch in log.read(number)["tables"].items())
+    gone = [batch_path(raw_dir, batch, table) for batch, table in
+            sorted(named[False] - named[True]) if _exists(spark, batch_path(raw_dir, batch, table))]
+    for folder in gone:
+        remove(spark, folder)
+    return gone
+
+
 def append_load_report(report: DataFrame, run_id: str, log_dir: str) -> None:
     """Keep the report of one load of a run in the health log."""
     reported_at = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
