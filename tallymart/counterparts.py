@@ -983,10 +983,73 @@ def _sources(marts: dict[str, str], staging: dict[str, str]) -> dict[str, str]:
     }
 
 
+def _upkeep(staging: dict[str, str], marts: dict[str, str]) -> dict[str, str]:
+    """What tables hold after increments, versions and refreshes, from the whole tables."""
+    late = "EXISTS (SELECT 1 FROM o WHERE date_trunc('month', o.day) = " \
+           "date_trunc('month', m.order_date) AND o.day >= DATE '1998-01-01' AND o.order_id % 7 < 2)"
+    periods = {"month": "CAST(date_trunc('month', day) AS DATE)",
+               "quarter": "CAST(date_trunc('quarter', day) AS DATE)",
+               "year": "CAST(date_trunc('year', day) AS DATE)", "all": "CAST(NULL AS DATE)"}
+    return {
+        "incremental_landing": f"""
+            SELECT *, CASE WHEN order_id % 4 = 0 THEN TIMESTAMP '2024-02-02 06:00:00'
+                           ELSE TIMESTAMP '2024-02-01 06:00:00' END AS loaded_at
+            FROM ({staging['stg_orders']})""",
+        # Days that end before the latest event less one day are closed. What comes with a later
+        # drop counts unless its day was closed by the drops before.
+        "event_counts_stream": """
+            WITH seconds AS (SELECT *, CAST(floor(epoch(ts)) AS BIGINT) AS s FROM events),
+            middle AS (SELECT CAST(floor((min(s) + max(s)) / 2) AS BIGINT) AS m FROM seconds),
+            dealt AS (
+              SELECT ts, event_type, CAST(ts AS DATE) AS day,
+                     CASE WHEN event_id % 10 = 0 THEN 3 WHEN event_id % 10 = 1 OR s >= m THEN 2
+                          ELSE 1 END AS part
+              FROM seconds CROSS JOIN middle),
+            marks AS (
+              SELECT max(ts) FILTER (part < 2) - INTERVAL 1 DAY AS second,
+                     max(ts) FILTER (part < 3) - INTERVAL 1 DAY AS third,
+                     max(ts) - INTERVAL 1 DAY AS last FROM dealt)
+            SELECT day, event_type, count(*) AS events
+            FROM dealt CROSS JOIN marks
+            WHERE day + INTERVAL 1 DAY <= last
+              AND NOT coalesce(part = 2 AND day + INTERVAL 1 DAY <= second, false)
+              AND NOT coalesce(part = 3 AND day + INTERVAL 1 DAY <= third, false)
+            GROUP BY day, event_type""",
+        # The fourth version is the one that forgot the first: it reads like the third.
+        "raw_snapshots": with_ctes("""
+            SELECT version, count(*) AS rows, CAST(sum(items) AS BIGINT) AS items,
+                   any_value(TIMESTAMP '2024-02-01 06:00:00' + to_days(CAST(part AS INT)))
+                   AS loaded_at
+            FROM declared CROSS JOIN (VALUES (CAST(2 AS BIGINT), 1), (3, 2), (4, 2))
+                 AS versions(version, part)
+            WHERE order_id % 3 <> part
+            GROUP BY version""", "declared"),
+        "concurrent_publications": with_ctes(f"""
+            SELECT run_id, count(*) AS orders, {_cents('sum(coalesce(gmv, 0))', 'gmv')},
+                   CAST(2 AS BIGINT) AS versions
+            FROM (SELECT 'all' AS run_id, order_id FROM o UNION ALL
+                  SELECT 'even', order_id FROM o WHERE order_id % 2 = 0) r
+            LEFT JOIN per_order USING (order_id)
+            GROUP BY run_id""", "o", "per_order"),
+        "changed_days_kpis": with_ctes(
+            f"SELECT m.*, {late} AS refreshed FROM ({marts['fct_daily_kpis']}) m", "o"),
+        "changed_days_recognition": with_ctes(
+            f"SELECT m.*, {late} AS refreshed FROM ({marts['fct_revenue_recognition']}) m", "o"),
+        "bucketed_orders": marts["int_orders_enriched"],
+        "bucketed_customers": marts["dim_customers"],
+        "active_customers_by_period": with_ctes("\nUNION ALL\n".join(
+            f"SELECT '{grain}' AS grain, {period} AS period, "
+            "count(DISTINCT user_id) AS active_customers FROM o WHERE net_order GROUP BY ALL"
+            for grain, period in periods.items()), "o"),
+        "renamed_contacts":
+            "SELECT user_id, country, customer_segment FROM (" + marts["dim_customers"] + ")",
+    }
+
+
 def statements() -> dict[str, str]:
     """DuckDB SQL by query name."""
     staging, layers = _staging(), _layers()
     clean = {name: sql for name, sql in _quality().items()
              if name not in ("negative_price_rows", "unreconciled_days", "offending_days")}
     return {**staging, **layers, **_business(), **clean, **_faulty(), **_metrics(),
-            **_sources(layers, staging)}
+            **_sources(layers, staging), **_upkeep(staging, layers)}

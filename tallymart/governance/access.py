@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallymart.plans import business
-from tallymart.specs import PII_COLUMNS
+from tallymart.specs import PII_COLUMNS, PII_TAG
 
 # Subject -> how it is derived from the marts. Customer-level money stays out of the KPI set.
 SUBJECTS: dict[str, Callable[[Callable[[str], DataFrame]], DataFrame]] = {
@@ -33,9 +34,29 @@ class AccessDenied(Exception):
     """The role may not read the subject."""
 
 
+def tag_pii(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Mark columns as personal, in the metadata of their fields.
+
+    The tag follows a column through renames, joins, unions of tagged tables and Parquet files. An
+    expression over a column has no tag: whoever computes one from personal data tags the result.
+    """
+    wanted = set(columns)
+    for field in df.schema.fields:
+        if field.name in wanted:
+            df = df.withMetadata(field.name, {**field.metadata, PII_TAG: True})
+    return df
+
+
+def personal_columns(df: DataFrame) -> list[str]:
+    """Columns that are tagged as personal, and untagged ones that bear a declared name."""
+    return [f.name for f in df.schema.fields
+            if f.metadata.get(PII_TAG, f.name.lower() in PII_COLUMNS)]
+
+
 def without_pii(df: DataFrame) -> DataFrame:
-    """Drop the columns that identify a person or a device."""
-    return df.drop(*PII_COLUMNS)
+    """Drop the columns that identify a person or a device, whatever they are called by now."""
+    personal = set(personal_columns(df))
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in personal])
 
 
 def subjects_of(role: str) -> tuple[str, ...]:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.timestamps import to_utc
+from tallymart.specs import PII_TAG
 
 
 def _id(name: str) -> Column:
@@ -33,6 +34,11 @@ def _text(name: str) -> Column:
     return F.trim(F.col(name))
 
 
+def _personal(column: Column, name: str) -> Column:
+    """A column that identifies a person or a device, tagged as such."""
+    return column.alias(name, metadata={PII_TAG: True})
+
+
 def _naive(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz")
 
@@ -63,9 +69,9 @@ def products() -> list[Column]:
 def users() -> list[Column]:
     return [
         _id("id").alias("user_id"),
-        _text("first_name").alias("first_name"),
-        _text("last_name").alias("last_name"),
-        F.lower(_text("email")).alias("email"),
+        _personal(_text("first_name"), "first_name"),
+        _personal(_text("last_name"), "last_name"),
+        _personal(F.lower(_text("email")), "email"),
         _int("age").alias("age"),
         *[_text(c).alias(c) for c in ("gender", "city", "state", "postal_code", "country")],
         _number("latitude").alias("latitude"),
@@ -134,7 +140,7 @@ def events() -> list[Column]:
         _text("session_id").alias("session_id"),
         _int("sequence_number").alias("sequence_number"),
         *[_text(c).alias(c) for c in texts],
-        F.col("ip_address"),
+        _personal(F.col("ip_address"), "ip_address"),
         to_utc(F.col("created_at")).alias("created_at"),
     ]
 

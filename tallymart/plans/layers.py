@@ -24,10 +24,11 @@ class Layers:
     marts calls :meth:`with_written_orders` once, so that the order rollup is computed once.
     """
 
-    def __init__(self, raw: Mapping[str, DataFrame], written_orders: DataFrame | None = None):
+    def __init__(self, raw: Mapping[str, DataFrame], written_orders: DataFrame | None = None,
+                 staged: Mapping[str, DataFrame] | None = None):
         self.raw = raw
         self._written_orders = written_orders
-        self._staged: dict[str, DataFrame] = {}
+        self._staged: dict[str, DataFrame] = dict(staged or {})  # tables that are written already
 
     def staged(self, table: str) -> DataFrame:
         if table not in self._staged:

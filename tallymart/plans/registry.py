@@ -17,7 +17,7 @@ from tallymart.functions.timestamps import to_utc
 from tallymart.governance.access import register_views, without_pii
 from tallymart.governance.publish import GateClosed, live_marts, publish, resolver
 from tallymart.operators.staging import STAGING
-from tallymart.plans import business, metrics
+from tallymart.plans import business, metrics, upkeep
 from tallymart.plans.layers import MARTS, Layers, export_all
 from tallymart.plans.marts import dim_customers
 from tallymart.quality import consistency
@@ -96,6 +96,10 @@ def _layers(spark: SparkSession, directory: str) -> Layers:
     return Layers(TestTables(spark, directory))
 
 
+def _rounded(query: Query) -> Query:
+    return lambda spark, directory: rounded(query(spark, directory))
+
+
 def _over_layers(build: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, directory: rounded(build(_layers(spark, directory)))
 
@@ -413,6 +417,12 @@ def role_view(role: str, subject: str) -> Query:
     return run
 
 
+def dashboard_kpis(spark: SparkSession, directory: str) -> DataFrame:
+    """The card row over the written order fact, which both marts are built from."""
+    layers = _layers(spark, directory).with_written_orders("dashboard_kpis")
+    return rounded(business.dashboard_kpis(layers.fct_daily_kpis, layers.dim_customers))
+
+
 def dashboard_payload(spark: SparkSession, directory: str) -> DataFrame:
     """The dashboard document, written as JSON and read back with its main fields."""
     layers = _layers(spark, directory).with_written_orders("dashboard_payload")
@@ -474,6 +484,9 @@ def registry() -> dict[str, Query]:
         "export_warehouse": export_warehouse,
         "publish_gate": publish_gate,
         "to_utc": offsets_to_utc,
+        "incremental_landing": upkeep.incremental_landing,
+        "raw_snapshots": upkeep.raw_snapshots,
+        "concurrent_publications": upkeep.concurrent_publications(TEST_BANDS),
         # layers
         **staged,
         "int_order_items_enriched": _over_layers(lambda layers: layers.line_enriched),
@@ -482,6 +495,10 @@ def registry() -> dict[str, Query]:
             lambda layers: metrics.line_revenue(
                 layers.line_enriched, "month", ["department", "status"])),
         **marts,
+        "changed_days_kpis": _rounded(upkeep.changed_days("fct_daily_kpis")),
+        "changed_days_recognition": _rounded(upkeep.changed_days("fct_revenue_recognition")),
+        "bucketed_orders": _rounded(upkeep.bucketed_orders),
+        "bucketed_customers": _rounded(upkeep.bucketed_customers),
         # business questions
         "headline_kpis": _as_built(lambda x: business.headline_kpis(x.fct_daily_kpis)),
         "monthly_revenue_trend": _as_built(
@@ -496,9 +513,7 @@ def registry() -> dict[str, Query]:
         "customer_segments": _over_layers(lambda x: business.customer_segments(x.dim_customers)),
         "customer_segments_as_of": _over_layers(lambda x: business.customer_segments(
             dim_customers(x.staged("users"), x.fct_orders, SEGMENTS_AS_OF))),
-        "dashboard_kpis": _over_written(
-            "dashboard_kpis",
-            lambda x: rounded(business.dashboard_kpis(x.fct_daily_kpis, x.dim_customers))),
+        "dashboard_kpis": dashboard_kpis,
         "dashboard_monthly": _as_built(lambda x: business.dashboard_monthly(x.fct_daily_kpis)),
         "monthly_by_year": _as_built(
             lambda x: business.dashboard_monthly(x.fct_daily_kpis, 1997)),
@@ -549,6 +564,7 @@ def registry() -> dict[str, Query]:
         "monthly_aov": _over_layers(lambda x: metrics.monthly_aov(x.fct_orders)),
         "monthly_active_customers": _over_layers(
             lambda x: metrics.monthly_active_customers(x.fct_orders)),
+        "active_customers_by_period": upkeep.active_customers_by_period,
         "monthly_repeat_rate": _over_layers(lambda x: metrics.monthly_repeat_rate(x.fct_orders)),
         "category_growth": _over_layers(lambda x: metrics.category_growth(x.line_enriched)),
         "recognition_by_ship_date": _over_layers(
@@ -559,9 +575,11 @@ def registry() -> dict[str, Query]:
             lambda x: metrics.revenue_drop_alert(x.fct_daily_kpis, days=7, sigmas=1.0)),
         "event_funnel_daily": _over_layers(
             lambda x: metrics.event_funnel_daily(x.staged("events"))),
+        "event_counts_stream": upkeep.event_counts_stream,
         "daily_conversion": _over_layers(lambda x: metrics.daily_conversion(x.staged("events"))),
         # governance
         "customers_no_pii": _over_layers(lambda x: without_pii(x.dim_customers)),
+        "renamed_contacts": upkeep.renamed_contacts,
         "marketing_view": role_view("marketing", "daily_kpis"),
         "finance_view": role_view("finance", "revenue_recognition"),
     }

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from tallymart.quality.checks import (
     union_reports,
 )
 from tallymart.quality.suites import Bands, value_suites
+from tallymart.workspace import side_by_side
 
 
 @dataclass(frozen=True)
@@ -51,10 +53,15 @@ Keys = tuple[object, object]
 
 
 def smallest_keys(df: DataFrame, key: str) -> Keys:
-    """The two smallest values of a key column; NULL where there are fewer."""
-    found = df.select(key).filter(F.col(key).isNotNull()).distinct().orderBy(key).limit(2)
-    values = [row[0] for row in found.collect()]
-    return tuple([*values, None, None][:2])
+    """The two smallest values of a key column; NULL where there are fewer.
+
+    Two passes over the one column, of which each task returns one value: no keys are shuffled.
+    """
+    smallest = df.agg(F.min(key)).first()[0]
+    if smallest is None:
+        return None, None
+    above = F.col(key) > F.lit(smallest).cast(df.schema[key].dataType)
+    return smallest, df.agg(F.min(F.when(above, F.col(key)))).first()[0]
 
 
 def corrupted(df: DataFrame, defect: Defect, keys: Keys | None = None) -> Column:
@@ -85,18 +92,19 @@ def detect_defects(
     """
     defects = standard_defects() if defects is None else defects
     reports = []
+    wanted = list(dict.fromkeys((d.table, d.key) for d in defects))
+    found = dict(zip(wanted, side_by_side(
+        partial(smallest_keys, frame(table), key) for table, key in wanted)))
     for table in dict.fromkeys(d.table for d in defects):
         original, suite = frame(table), value_suites(bands)[table]
         spoiled = original
-        keys = {key: smallest_keys(original, key)
-                for key in dict.fromkeys(d.key for d in defects if d.table == table)}
         checks: dict[RowCheck | UniqueCheck, None] = {}
         # Checked column -> the (defect, after injection?, column) roles it plays.
         roles: dict[str, list[tuple[str, bool, str]]] = {}
         for defect in (d for d in defects if d.table == table):
             bad_column = f"{defect.column}__{defect.name}"
             spoiled = spoiled.withColumn(
-                bad_column, corrupted(original, defect, keys[defect.key]))
+                bad_column, corrupted(original, defect, found[table, defect.key]))
             for check in suite:
                 if check.column == defect.column and not check.name.startswith("rule:"):
                     checks |= {check: None, replace(check, column=bad_column): None}

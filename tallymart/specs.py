@@ -132,3 +132,5 @@ RAW_TABLES: dict[str, TableSpec] = {
 
 # Columns that identify a person or a device.
 PII_COLUMNS = ("first_name", "last_name", "email", "ip_address")
+# Key of the tag in the metadata of a field that holds personal data.
+PII_TAG = "pii"
