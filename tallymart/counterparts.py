@@ -1052,4 +1052,6 @@ def statements() -> dict[str, str]:
     clean = {name: sql for name, sql in _quality().items()
              if name not in ("negative_price_rows", "unreconciled_days", "offending_days")}
     return {**staging, **layers, **_business(), **clean, **_faulty(), **_metrics(),
-            **_sources(layers, staging), **_upkeep(staging, layers)}
+            **_sources(layers, staging), **_upkeep(staging, layers),
+            "marts_checked_while_written":
+            f"SELECT * FROM ({clean['quality_report']}) WHERE table_name NOT LIKE 'stg%'"}

@@ -542,6 +542,7 @@ def registry() -> dict[str, Query]:
         "source_freshness": landed_by_age,
         "quality_report": quality_report,
         "quality_report_json": quality_report_json,
+        "marts_checked_while_written": upkeep.marts_checked_while_written(TEST_BANDS),
         "defect_detection": _over_written("defect_detection", defects_over_written),
         "dq_status_agreement": _as_built(
             lambda x: consistency.status_agreement(x.staged("order_items"), x.staged("orders"))),

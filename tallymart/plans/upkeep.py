@@ -15,9 +15,9 @@ from tallymart.governance.publish import GateClosed, publications, publish, read
 from tallymart.operators.staging import COLUMNS, STAGING
 from tallymart.plans import actives, refresh
 from tallymart.plans.bucketed import bucketed_layers
-from tallymart.plans.layers import Layers
-from tallymart.quality.checks import union_reports
-from tallymart.quality.suites import Bands
+from tallymart.plans.layers import MARTS, Layers
+from tallymart.quality.checks import union_reports, write_checked
+from tallymart.quality.suites import Bands, value_suites
 from tallymart.sources.exchange import write_csv_drop
 from tallymart.sources.landing import forget_before, load_raw, raw_versions, read_raw
 from tallymart.sources.testdata import TestTables
@@ -135,6 +135,19 @@ def _refreshed(spark: SparkSession, directory: str, table: str) -> DataFrame:
         refresh.PERIOD)
 
 
+def marts_checked_while_written(bands: Bands) -> Query:
+    """The value suites of the marts, from the jobs that wrote them."""
+    def run(spark: SparkSession, directory: str) -> DataFrame:
+        layers = Layers(TestTables(spark, directory)).with_written_orders("checked_while_written")
+        root = scratch_dir(spark, "checked_while_written/marts")
+        suites = {t: checks for t, checks in value_suites(bands).items() if t in MARTS}
+        return union_reports(side_by_side(
+            partial(write_checked, layers.mart(table), f"{root}/{table}", table, checks, "values")
+            for table, checks in suites.items()))
+
+    return run
+
+
 def changed_days(table: str) -> Query:
     return lambda spark, directory: _refreshed(spark, directory, table)
 

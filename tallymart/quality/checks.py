@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 REPORT_SCHEMA = (
@@ -179,6 +179,33 @@ def _row_report(df: DataFrame, rows: Sequence[Labelled]) -> DataFrame:
     return df.agg(*counters.aggregates()).select(_report_rows(counters.results()))
 
 
+def write_checked(df: DataFrame, path: str, table: str, checks: Sequence[Check],
+                  suite: str) -> DataFrame:
+    """Write ``df`` and judge it by the same job; returns the report.
+
+    Row checks are counted on the rows as they are written. A task that ran twice may have been
+    counted twice; its rows then make the counted rows differ from those that the footers of the
+    written files tell, and the checks are run on the written table instead. Unique columns need a
+    grouping, which reads them back.
+    """
+    spark = df.sparkSession
+    rows = [Labelled(suite, table, c) for c in checks if isinstance(c, RowCheck)]
+    counters = _Counters(rows)
+    observed = Observation()
+    df.observe(observed, *counters.aggregates()).write.mode("error").parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    counted = observed.get
+    if counted["n_rows"] != written.count():
+        return run_checks(written, table, checks, suite)
+    names = counters.names()
+    line = spark.createDataFrame([tuple(counted[n] for n in names)],
+                                 ", ".join(f"{n} bigint" for n in names))
+    uniques = [c for c in checks if isinstance(c, UniqueCheck)]
+    reports = [line.select(_report_rows(counters.results()))] if rows else []
+    reports += [run_checks(written, table, uniques, suite)] if uniques else []
+    return union_reports(reports)
+
+
 def _key_report(
     df: DataFrame, key: str, on_key: Sequence[Labelled], riders: Sequence[Labelled]
 ) -> DataFrame:

@@ -3,6 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tallymart.quality import checks as checking
 from tallymart.quality import consistency, suites
 from tallymart.quality.checks import (
     Labelled,
@@ -181,3 +182,45 @@ def test_consistency_checks(spark):
     rows = {r.column_name: (r.evaluated, r.missing, r.unexpected)
             for r in consistency.conditional_nulls(stamped).collect()}
     assert rows == {"shipped_at": (3, 1, 1), "delivered_at": (3, 0, 0), "returned_at": (3, 0, 0)}
+
+
+@pytest.fixture
+def some_days(spark):
+    return spark.createDataFrame(
+        [(1, 5.0, "a"), (2, -1.0, "a"), (2, None, "b"), (None, 9.0, None)],
+        "k int, v double, s string").repartition(3)
+
+
+@pytest.fixture
+def mixed(spark):
+    return [checking.not_null("k"), checking.UniqueCheck("k"), checking.between("v", 0),
+            checking.between("v", 0, mostly=0.5), checking.accepted_values("s", ["a"]),
+            checking.rule("small", F.col("v") < 6, "v")]
+
+
+def report_rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+@pytest.mark.parametrize("doubled", [False, True])
+def test_checks_of_the_writing_job_equal_a_second_reading(
+        spark, some_days, mixed, tmp_path, monkeypatch, doubled):
+    second = report_rows(checking.run_checks(some_days, "t", mixed, "s"))
+    read_again = []
+    plain = checking.run_checks
+    monkeypatch.setattr(checking, "run_checks", lambda df, table, some, suite: (
+        read_again.append(list(some)), plain(df, table, some, suite))[1])
+    if doubled:  # as if every task had been counted twice
+        get = checking.Observation.get.fget
+        monkeypatch.setattr(checking.Observation, "get", property(
+            lambda self: {k: 2 * v for k, v in get(self).items()}))
+    path = str(tmp_path / "t")
+    assert report_rows(checking.write_checked(some_days, path, "t", mixed, "s")) == second
+    assert spark.read.parquet(path).count() == 4
+    assert read_again == [mixed if doubled else [checking.UniqueCheck("k")]]
+
+
+def test_checks_of_an_empty_table(spark, some_days, mixed, tmp_path):
+    report = checking.write_checked(some_days.limit(0), str(tmp_path / "t"), "t", mixed, "s")
+    assert report_rows(report) == report_rows(
+        checking.run_checks(some_days.limit(0), "t", mixed, "s"))
