@@ -3,22 +3,27 @@
 Three steps: every page's containers are scored by the text they hold outside boilerplate; the pages
 of a host vote, with these scores, on generalised tag-class paths (element names with their class
 words, without positions, ids or numbers); and every page is extracted anew from the containers on
-the winning path. A page that has no container on its host's path falls back on its own best one.
-The vote is a Spark aggregation with map-side combining; each page sends at most ``VOTES`` paths, so
-a hot host costs no task more than its partial sums.
+a winning path. A host may have several templates, so all paths with a hundredth of its votes win,
+which are a hundred at most. A path is trusted if two pages have it and it is the best one on half of
+those that do. A page takes the best-voted trusted path that holds a fair share of what its own best
+path holds, so a teaser does not stand in for an article; ``choose`` has the rest of the rule.
+The vote is a Spark aggregation with map-side combining, to which every container contributes; a hot
+host costs no task more than its partial sums. Pages without a host neither vote nor follow votes.
 
 Boilerplate never counts and is never extracted: menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments, told by element name, role or class words.
+Ids and words of two meanings are judged more narrowly, above all inside an article.
 """
 
 from __future__ import annotations
 
 import html
+import json
 import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.llm.common import bound_batches
@@ -54,8 +59,20 @@ NOISE = frozenset(
     "newsletter subscribe subscription signup login share sharing social toolbar pagination pager "
     "comment comments disqus reply replies respond discussion reviews copyright legal disclaimer "
     "contentinfo complementary search searchbox form alert skip hidden".split())
-# Class words that win over NOISE on the same element, such as "article-header".
+# Words that mean boilerplate in an id too; other ids name sections, such as "related-work".
+UNMISTAKABLE = frozenset(
+    "ad ads advert adverts advertisement advertising adsense adslot sponsored nav navbar navigation "
+    "menu menus breadcrumb breadcrumbs masthead footer sidebar sidebars cookie cookies consent gdpr "
+    "popup newsletter comment comments disqus".split())
+# Words that inside an article more often name its own parts.
+AMBIGUOUS = frozenset("header legal disclaimer copyright discussion reviews side rail form search "
+                      "alert foot skip".split())
+# Words that are boilerplate inside an article only where they make up the name with FILLER.
+LINKING = frozenset("related recommended recommendations".split())
+FILLER = frozenset("posts articles links stories box list items section block container".split())
+# Class words that win over AMBIGUOUS ones beside them; a header is saved by the first four alone.
 MAIN = frozenset("article post entry story content main body text".split())
+HEADED = frozenset("article post entry story".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(
@@ -66,10 +83,33 @@ ATTRIBUTE = re.compile(
     r"(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+)))?", re.I)
 WORDS = re.compile(r"[a-z]+")
 
-BROADCAST_HOSTS = 50_000  # rows of the table of winners that may be broadcast
+BROADCAST_PATHS = 50_000  # winning paths of all hosts that may be broadcast
 SALTS = 64  # parts of a host's pages beyond that
-VOTES = 3  # containers that a page votes for
 MIN_SCORE = 1.0
+MIN_SHARE = 0.01  # of its host's votes, for a path to win
+FAIR = 0.6  # of the best path's score; more than the half that a container adds to the one around it
+OVERRULE = 3.0  # times the votes of a page's own best path, for an untrusted path to replace it
+
+
+def _noisy_class(word: str, in_article: bool) -> bool:
+    """Whether a class word marks boilerplate."""
+    parts = set(WORDS.findall(word))
+    marks = parts & NOISE
+    if parts & MAIN:
+        marks -= AMBIGUOUS if parts & HEADED else AMBIGUOUS - {"header"}
+    if in_article:
+        marks -= AMBIGUOUS
+        if marks and marks <= LINKING:
+            return parts <= NOISE | FILLER
+    return bool(marks)
+
+
+def _noisy_id(word: str, in_article: bool) -> bool:
+    """Whether an id marks boilerplate: by an unmistakable word, or outside articles as a whole."""
+    parts = set(WORDS.findall(word))
+    if parts & UNMISTAKABLE:
+        return True
+    return bool(parts) and parts <= NOISE and not in_article
 
 
 def _noise(name: str, attributes: str, in_article: bool) -> bool:
@@ -86,13 +126,16 @@ def _noise(name: str, attributes: str, in_article: bool) -> bool:
         if key == "style":
             if "display:none" in value.replace(" ", ""):
                 return True
-        elif name not in ("html", "body", "article", "main"):
-            for word in value.split():
-                parts = set(WORDS.findall(word))
-                if parts & NOISE and not (parts & MAIN and not parts & {
-                        "comment", "comments", "ad", "ads", "sidebar", "nav", "menu", "related",
-                        "footer", "header"}):
-                    return True
+        elif name in ("html", "body", "article", "main"):
+            continue
+        elif key == "id":
+            if name not in HEADINGS and any(_noisy_id(w, in_article) for w in value.split()):
+                return True
+        elif key == "role":
+            if NOISE.intersection(WORDS.findall(value)):
+                return True
+        elif any(_noisy_class(w, in_article) for w in value.split()):
+            return True
     return False
 
 
@@ -264,6 +307,50 @@ class Page:
             return None
         return self.containers[scores.index(max(scores))][0]
 
+    def path_scores(self) -> dict[str, float]:
+        """Score of every path with some text, summed over its containers."""
+        sums: dict[str, float] = {}
+        for container, value in zip(self.containers, self.scores()):
+            sums[container[0]] = sums.get(container[0], 0.0) + value
+        return {path: value for path, value in sums.items() if value >= MIN_SCORE}
+
+
+def _trusted(pages: int, leads: int) -> bool:
+    return pages >= 2 and 2 * leads >= pages
+
+
+def choose(page: Page, winners: list[tuple[str, int, int, float]]) -> str | None:
+    """The path that a page is extracted from; None if it has no text.
+
+    ``winners`` are (path, pages, pages that it is best on, votes) of the host, most votes first.
+    Taken is the first of these that the page has:
+
+    1. the best-voted trusted path with a fair share of the score of the page's own best path;
+    2. its own best path if that is an article or main element, and its host's pages do not mostly
+       have something better than that path;
+    3. the best-voted trusted path, however little it holds;
+    4. the best-voted path, if it has ``OVERRULE`` times the votes of the page's own best path;
+    5. its own best path.
+    """
+    best = page.best_path()
+    if best is None:
+        return None
+    scores = page.path_scores()
+    carried = [w for w in winners if w[0] in scores]
+    trusted = [w for w in carried if _trusted(w[1], w[2])]
+    for path, *_ in trusted:
+        if scores[path] >= FAIR * scores[best]:
+            return path
+    known = next((w for w in carried if w[0] == best), (best, 0, 0, 0.0))
+    distrusted = known[1] >= 2 and not _trusted(known[1], known[2])
+    if best.rsplit("/", 1)[-1].split(".")[0] in ("article", "main") and not distrusted:
+        return best
+    if trusted:
+        return trusted[0][0]
+    if carried and known[3] > 0 and carried[0][3] >= OVERRULE * known[3]:
+        return carried[0][0]
+    return best
+
 
 def host_of(url: Column) -> Column:
     """The host in lower case without user and port; empty for NULL or a URL without one."""
@@ -271,47 +358,56 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":\d*$", ""))
 
 
-def votes(pages: DataFrame, per_page: int = VOTES) -> DataFrame:
-    """host, path, pages and score, summed over the best containers of each page."""
+def votes(pages: DataFrame) -> DataFrame:
+    """host, path, pages that have it, pages it is best on, and score, summed over pages with a host.
+
+    Every path of a page votes, by its share of the page's scores.
+    """
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sums: dict[tuple[str, str], list[float]] = {}
+            sums: dict[tuple[str, str], list] = {}
             for host, source in zip(batch["host"], batch["html"]):
                 page = Page(source)
-                by_path: dict[str, float] = {}
-                for container, value in zip(page.containers, page.scores()):
-                    by_path[container[0]] = by_path.get(container[0], 0.0) + value
-                best = sorted(by_path.items(), key=lambda x: (-x[1], x[0]))[:per_page]
-                all_scores = sum(v for _, v in best)
-                for path, value in best:
-                    if value >= MIN_SCORE:
-                        entry = sums.setdefault((host, path), [0, 0.0])
-                        entry[0] += 1
-                        entry[1] += value / all_scores  # every page has the same say
-            yield pd.DataFrame([(h, p, n, s) for (h, p), (n, s) in sums.items()],
-                               columns=["host", "path", "pages", "score"])
-
-    located = pages.select(host_of(F.col("url")).alias("host"), "html")
-    return (located.mapInPandas(score, "host string, path string, pages long, score double")
-            .groupBy("host", "path").agg(F.sum("pages").alias("pages"),
-                                         F.sum("score").alias("score")))
+                best, scores = page.best_path(), page.path_scores()
+                whole = sum(scores.values())
+                for path, value in scores.items():
+                    entry = sums.setdefault((host, path), [0, 0, 0.0])
+                    entry[0] += 1
+                    entry[1] += path == best
+                    entry[2] += value / whole  # every page has the same say
+            yield pd.DataFrame([(*key, *sums[key]) for key in sums],
+                               columns=["host", "path", "pages", "leads", "score"])
+
+    located = pages.select(host_of(F.col("url")).alias("host"), "html").where("host <> ''")
+    return (located.mapInPandas(
+        score, "host string, path string, pages long, leads long, score double")
+        .groupBy("host", "path").agg(F.sum("pages").alias("pages"), F.sum("leads").alias("leads"),
+                                     F.round(F.sum("score"), 6).alias("score")))
 
 
 def winning_paths(counted: DataFrame) -> DataFrame:
-    """host and its path with the largest score; ties go to more pages, then the smaller path."""
-    best = Window.partitionBy("host").orderBy(
-        F.desc(F.round("score", 6)), F.desc("pages"), "path")
-    return counted.withColumn("n", F.row_number().over(best)).where("n = 1").select("host", "path")
+    """host and ``winners``: its paths with ``MIN_SHARE`` of its votes.
+
+    They are in falling order of votes; ties go to more pages, then the smaller path.
+    """
+    shares = counted.groupBy("host").agg(F.sum("score").alias("whole"))
+    entry = F.struct("path", "pages", "leads", "score")
+    ranked = F.array_sort(F.collect_list(F.struct(
+        (-F.col("score")).alias("votes"), (-F.col("pages")).alias("spread"), "path",
+        entry.alias("entry"))))
+    return (counted.join(shares, "host").where(F.col("score") >= F.col("whole") * MIN_SHARE)
+            .groupBy("host").agg(F.transform(ranked, lambda w: w["entry"]).alias("winners")))
 
 
-def with_path(located: DataFrame, winners: DataFrame) -> DataFrame:
-    """Rows of ``located`` with the path of their host, if it has one.
+def with_winners(located: DataFrame, winners: DataFrame) -> DataFrame:
+    """Rows of ``located`` with the winners of their host, if it has any.
 
     A table of few hosts is broadcast and no page is moved. Otherwise both sides are shuffled by
     host and salt: each host's one row is repeated for every salt, its pages are dealt over them.
     """
-    if winners.count() <= BROADCAST_HOSTS:
+    paths = winners.agg(F.coalesce(F.sum(F.size("winners")), F.lit(0))).first()[0]
+    if paths <= BROADCAST_PATHS:
         return located.join(F.broadcast(winners), "host", "left")
     salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
     repeated = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
@@ -322,29 +418,34 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars and path of every page.
 
     ``path`` is the container path that the text comes from. Defined cases: NULL and empty html give
-    an empty text; a NULL url belongs to the empty host, whose pages vote together; pages without
-    any text outside boilerplate give an empty text; repeated rows give equal rows; an empty table
-    gives an empty result; further columns are ignored.
+    an empty text; pages with a NULL url, or one without a host, use their own best path; pages
+    without any text outside boilerplate give an empty text; repeated rows give equal rows, each with
+    a vote; an empty table gives an empty result; further columns are ignored.
     """
-    bound_batches(pages.sparkSession)
-    winners = write_and_read(winning_paths(votes(pages)),
-                             scratch_dir(pages.sparkSession, "extract/winners"))
+    spark = pages.sparkSession
+    bound_batches(spark)
+    counted = write_and_read(votes(pages), scratch_dir(spark, "extract/votes"))
+    winners = write_and_read(winning_paths(counted), scratch_dir(spark, "extract/winners"))
     slim = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    located = with_path(slim, winners).select("page_id", "url", "html", "path")
+    located = with_winners(slim, winners).select(
+        "page_id", "url", "html",
+        F.to_json(F.transform("winners", lambda w: F.array(
+            w["path"], w["pages"].cast("string"), w["leads"].cast("string"),
+            w["score"].cast("string")))).alias("winners"))
 
     @F.pandas_udf("text string, path string")
-    def main_text(sources: pd.Series, paths: pd.Series) -> pd.DataFrame:
-        rows = []
-        for source, path in zip(sources, paths):
+    def main_text(sources: pd.Series, winners: pd.Series) -> pd.DataFrame:
+        rows, hosts = [], {None: []}
+        for source, packed in zip(sources, winners):
+            if packed not in hosts:
+                hosts[packed] = [(path, int(pages), int(leads), float(score))
+                                 for path, pages, leads, score in json.loads(packed)]
             page = Page(source)
-            text = page.text_in(path)
-            if not text:
-                path = page.best_path()
-                text = page.text_in(path) or ""
-            rows.append((text, path if text else None))
+            path = choose(page, hosts[packed])
+            rows.append((page.text_in(path) or "" if path else "", path))
         return pd.DataFrame(rows, columns=["text", "path"])
 
-    found = located.withColumn("found", main_text("html", "path"))
+    found = located.withColumn("found", main_text("html", "winners"))
     return found.select(
         "page_id", "url", F.col("found.text").alias("text"),
         F.length("found.text").cast("long").alias("n_chars"), F.col("found.path").alias("path"))

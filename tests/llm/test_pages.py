@@ -80,10 +80,105 @@ def test_hosts_agree_on_a_path(spark):
     assert got[10].startswith("terms and more")
 
 
+def extracted(spark, rows):
+    return {r["page_id"]: r["text"] for r in extract.extract(pages(spark, rows)).collect()}
+
+
+def paragraphs(word, count=20):
+    return "".join(f"<p>{word} {n} and some more words about it.</p>" for n in range(count))
+
+
+def lines_of(word, count=20):
+    return "\n".join(f"{word} {n} and some more words about it." for n in range(count))
+
+
+@pytest.mark.parametrize("usual, rare", [(9, 1), (6, 4), (4, 6)])
+def test_an_article_beside_a_teaser(spark, usual, rare):
+    """One template's container is a teaser in the other, which has an article element."""
+    rows = [(i, f"http://h/{i}", f"<body><div class=c>{paragraphs('news', 5)}</div></body>")
+            for i in range(usual)]
+    rows += [(100 + i, f"http://h/l{i}", "<body><div class=c><p>Read on, friends!</p></div><article>"
+              + paragraphs("report") + "</article></body>") for i in range(rare)]
+    got = extracted(spark, rows)
+    assert all(got[i] == lines_of("news", 5) for i in range(usual))
+    assert all(got[100 + i] == lines_of("report") for i in range(rare))
+
+
+@pytest.mark.parametrize("first, second", [(7, 3), (5, 5), (3, 7)])
+def test_a_host_of_two_templates(spark, first, second):
+    """Both are plain containers, and the path of the first occurs in the second with a few words."""
+    rows = [(i, f"http://h/{i}", f"<body><div class=short>{paragraphs('brief', 4)}</div></body>")
+            for i in range(first)]
+    rows += [(100 + i, f"http://h/l{i}", "<body><div class=short><p>Summary.</p></div>"
+              f"<div class='long id{i}'>{paragraphs('essay')}</div></body>") for i in range(second)]
+    got = extracted(spark, rows)
+    assert all(got[i] == lines_of("brief", 4) for i in range(first))
+    assert all(got[100 + i] == lines_of("essay") for i in range(second))
+
+
+def test_pages_without_a_host_stand_alone(spark):
+    """They come from unrelated sites: the many do not decide for the one."""
+    rows = [(i, None if i % 2 else "no-host/path",
+             f"<body><div class=a>{paragraphs('one', 6)}</div></body>") for i in range(8)]
+    rows.append((8, None, "<body><div class=a><p>Teaser of another site.</p></div><div class=b>"
+                 + paragraphs("two", 6) + "</div></body>"))
+    got = extracted(spark, rows)
+    assert got[0] == got[1] == lines_of("one", 6) and got[8] == lines_of("two", 6)
+    assert extract.votes(pages(spark, rows)).count() == 0
+
+
+def test_every_container_votes(spark):
+    """The one path that all pages share lies below many others on each of them."""
+    names = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    rows = [(i, f"http://h/{i}", "<body>" + "".join(
+        f"<div class='{name}{other}'><p>{'words ' * 60}</p></div>" for other in names[:6])
+        + "<section><p>" + "shared part " * 5 + "</p></section></body>")
+        for i, name in enumerate(names)]
+    counted = {r["path"]: r for r in extract.votes(pages(spark, rows)).collect()}
+    assert counted["html/body/section" if "html/body/section" in counted else "body/section"][
+        "pages"] == len(names)
+    assert len(counted) == 6 * len(names) + 2
+    kept = extract.winning_paths(extract.votes(pages(spark, rows))).first()["winners"]
+    assert {w["path"] for w in kept} == set(counted)
+    assert abs(sum(w["score"] for w in kept) - len(names)) < 1e-3
+
+
+@pytest.mark.parametrize("part, stays", [
+    ("<section id='discussion'><h2>Discussion</h2><p>We find.</p></section>", True),
+    ("<h2 id='related-work'>Related work</h2>", True),
+    ("<h2 id='side-effects'>Side effects</h2>", True), ("<h3 id='comments'>Its comments</h3>", True),
+    ("<header class='article-header'><p>Headline</p></header>", True),
+    ("<div class='legal'><p>Of the law.</p></div>", True),
+    ("<div class='related-work'><p>Others.</p></div>", True),
+    ("<div class='related-posts'><p>More</p></div>", False),
+    ("<div class='share'>Share</div>", False), ("<div id='comments'><p>Nice!</p></div>", False),
+    ("<div class='comment-list'><p>Nice!</p></div>", False),
+    ("<div class='post-comments'><p>Nice!</p></div>", False),
+    ("<div id='cookie-bar'><p>Cookies</p></div>", False),
+    ("<div class='entry-ad'>Buy</div>", False), ("<div class='notice'>Mind</div>", False),
+    ("<form class='x'>Mail</form>", False), ("<aside>Side</aside>", False)])
+def test_sections_of_an_article(part, stays):
+    got = best(f"<body><article><p>Before it.</p>{part}<p>After it.</p></article></body>")
+    assert got.startswith("Before it.") and got.endswith("After it.")
+    assert (got != "Before it.\nAfter it.") == stays
+
+
+@pytest.mark.parametrize("part, stays", [
+    ("<div class='post-header'><h1>Headline</h1></div>", True),
+    ("<h2 id='side-effects'>Side effects</h2>", True),
+    ("<section id='related-work'><p>Others.</p></section>", True),
+    ("<div class='site-header'>Site</div>", False), ("<div class='main-header'>Site</div>", False),
+    ("<div id='header'>Site</div>", False), ("<div id='site-footer'>End</div>", False),
+    ("<div class='legal'>Terms</div>", False), ("<div id='reviews'>Nice!</div>", False)])
+def test_sections_outside_articles(part, stays):
+    got = best(f"<body><div class=story><p>Before it.</p>{part}<p>After it.</p></div></body>")
+    assert (got != "Before it.\nAfter it.") == stays
+
+
 def test_many_hosts_need_no_broadcast(spark, sf_small, monkeypatch):
     df = spark.read.parquet(f"{sf_small}/pages.parquet")
     few = sorted(map(tuple, extract.extract(df).collect()))
-    monkeypatch.setattr(extract, "BROADCAST_HOSTS", 3)
+    monkeypatch.setattr(extract, "BROADCAST_PATHS", 3)
     assert sorted(map(tuple, extract.extract(df).collect())) == few
 
 
