@@ -8,7 +8,9 @@ sum. The best rows are then selected from the most significant score slice downw
 at the boundary are resolved by id.
 
 Blocks of candidates and chunks of queries have bounded sizes; every block meets every chunk, and
-the best k of all blocks are the answer, so the result is exact.
+the best k of all blocks are the answer, so the result is exact. A candidate is copied once for every
+chunk and a query once for every block; chunks are large, so that both copies weigh about the same
+and the index of a block is built for thousands of queries at a time.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ SCALE = 64
 K = 20
 QUERY_EVERY = 20
 BLOCK_ROWS = 32_768
-QUERY_ROWS = 256
+QUERY_ROWS = 16_384
 
 
 def quantised(vector: Column) -> Column:
@@ -142,6 +144,13 @@ class SlicedIndex:
         return words[word] * 64 + bit
 
 
+def dealt(rows: int, queries: int, tasks: int, block_rows: int = BLOCK_ROWS,
+          query_rows: int = QUERY_ROWS) -> tuple[int, int]:
+    """Blocks and chunks that keep both bounds; more chunks if they are too few for all tasks."""
+    blocks = max(1, -(-rows // block_rows))
+    return blocks, max(1, -(-queries // query_rows), min(queries, -(-tasks // blocks)))
+
+
 def top_k(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY,
           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """query_id, rank, vec_id and score of the k best candidates of every query.
@@ -162,8 +171,8 @@ def top_k(embeddings: DataFrame, k: int = K, query_every: int = QUERY_EVERY,
     is_query = F.pmod(F.col("vec_id"), F.lit(query_every)) == 0
     queries = rows.where(is_query).groupBy("vec_id").agg(F.min("q").alias("q")).withColumn(
         "size", F.size("q"))
-    blocks = max(1, -(-rows.count() // block_rows))
-    chunks = max(1, -(-rows.where(is_query).count() // query_rows))
+    blocks, chunks = dealt(rows.count(), rows.where(is_query).count(),
+                           spark.sparkContext.defaultParallelism, block_rows, query_rows)
     # Hashing deals both sides evenly; every block meets every chunk.
     candidate_rows = rows.select(
         "size", F.pmod(F.xxhash64("vec_id", "q"), F.lit(blocks)).cast("int").alias("block"),

@@ -220,6 +220,18 @@ def test_top_k_over_several_blocks_with_ties(spark):
     assert got == plain_top(rows, 7, 20)
 
 
+def test_chunks_keep_copies_few():
+    assert bitslice.dealt(0, 0, 8) == (1, 1)
+    assert bitslice.dealt(100, 5, 8) == (1, 5)
+    for rows in (50_000, 5_000_000, 500_000_000):
+        queries = rows // bitslice.QUERY_EVERY
+        blocks, chunks = bitslice.dealt(rows, queries, 6)
+        assert rows <= blocks * bitslice.BLOCK_ROWS and queries <= chunks * bitslice.QUERY_ROWS
+        assert blocks * chunks >= 6
+        if rows > 50_000:  # candidates' copies and queries' copies are of one order
+            assert rows * chunks < 3 * queries * blocks
+
+
 @pytest.mark.parametrize("value", [0, 1, -1, 7, -8, 100, -127, 12345])
 def test_signed_digits(value):
     digits = bitslice.signed_digits(value)
