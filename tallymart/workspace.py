@@ -23,6 +23,11 @@ def side_by_side(jobs: Iterable[Callable[[], T]], width: int = 8) -> list[T]:
         return list(pool.map(lambda job: job(), jobs))
 
 
+def one_machine(master: str) -> bool:
+    """Whether driver and tasks share one process; ``local-cluster`` has executors of its own."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder for one piece of intermediate output; every call names another one.
 
@@ -35,7 +40,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if shared:
         folder = f"{shared.rstrip('/')}/tallymart/{spark.conf.get('spark.app.id')}"
         return f"{folder}/{uuid.uuid4().hex}/{name}"
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not one_machine(spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{tempfile.mkdtemp(prefix='tallymart-')}/{name}"
 

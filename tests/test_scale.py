@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_module
+from tallymart import workspace
 from tallymart.plans.registry import registry
 from tallymart.session import initial_partitions, tune
 from tallymart.plans.layers import Layers
@@ -152,3 +153,10 @@ def test_daily_customers_travel_without_money(spark, sf_small):
     pairs = [line for line in plan.splitlines()
              if "Exchange hashpartitioning(order_date" in line and "user_id" in line]
     assert pairs and "Expand" not in plan
+
+
+@pytest.mark.parametrize("master, alone", [
+    ("local", True), ("local[8]", True), ("local[*]", True), ("local-cluster[3,2,1024]", False),
+    ("yarn", False), ("spark://localhost:7077", False), ("", False)])
+def test_temporary_folders_serve_one_process_alone(master, alone):
+    assert workspace.one_machine(master) == alone
