@@ -7,7 +7,7 @@ import corpus_pipeline
 from tallymart.llm import registry, simhash, toxicity
 from tallymart.llm.common import table
 from tests.llm.frames import awkward_documents
-from tests.llm.test_layout import check_packing, plain_ids
+from tests.llm.test_layout import plain_ids
 from tests.llm.test_simhash import plain_components
 
 
@@ -59,6 +59,19 @@ def test_one_document_of_each_group_stays(outputs):
     assert sorted(r["doc_id"] for r in outputs[3].collect()) == sorted(smallest.values())
 
 
+def gapless(pieces):
+    """Pieces fill their sequences from 0, without gaps and up to 4,096 tokens."""
+    sequences = {}
+    for r in pieces:
+        sequences.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 4096
+
+
 def test_copies_and_sequences(outputs):
     before = {r["doc_id"]: r for r in outputs[3].collect()}
     copies = outputs[4].collect()
@@ -68,17 +81,29 @@ def test_copies_and_sequences(outputs):
     assert sum(r["length"] for r in pieces) == total
     first_copy = {r["doc_id"]: 0 for r in copies}
     assert set(first_copy) == {r["doc_id"] for r in pieces}
-    assert check_packing is not None
+    gapless(pieces)
 
 
 def test_stages_take_awkward_rows_and_empty_tables(spark, sf_small):
+    """Stages keep rows as they are; one document of each group stays; every token is packed."""
     plain = awkward_documents(spark)
-    for docs in (plain, plain.limit(0)):
-        for name, stage in corpus_pipeline.STAGES:
-            result = stage(spark, docs, sf_small)
-            if name != "packing":
-                assert result.columns == docs.columns
-            assert result.count() >= 0
+    before = {tuple(r) for r in plain.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, plain.limit(0), sf_small).count() == 0
+        result = stage(spark, plain, sf_small)
+        rows = result.collect()
+        if name == "packing":
+            texts = [r["text"] for r in plain.collect()]
+            assert sum(r["length"] for r in rows) == sum(map(len, plain_ids(texts)))
+            gapless(rows)
+            continue
+        assert result.columns == plain.columns
+        assert {tuple(r) for r in rows} <= before
+        if name == "simhash_dedup":
+            texts = [r["text"] for r in plain.collect()]
+            assert len(rows) == len(set(plain_components([simhash.fingerprint(t) for t in texts])))
+        elif name != "source_mixing":
+            assert len(rows) <= plain.count()
 
 
 def test_run_equals_its_query(spark, sf_small):
