@@ -6,8 +6,9 @@ block gets a vantage-point tree over the Hamming distance in that block: every l
 point and splits by the median distance to it, over all distinct fingerprints. A fingerprint lives
 in one leaf of each tree; by the triangle bound |d(x, v) - d(y, v)| <= d(x, y), its neighbours can
 only live in leaves on its own side of each split, or beyond a split whose boundary is within the
-radius, so it also visits those leaves as a guest. Leaves are shards: within one, each resident is
-compared with all residents and guests on all 64 bits. The union over the trees holds every pair.
+radius, so it also visits those leaves as a guest. A guest keeps account of the bits that can have
+brought it across, which ends most paths further down. Leaves are shards: within one, each resident
+is compared with all residents and guests on all 64 bits. The union over the trees holds every pair.
 
 A leaf with many fingerprints is cut into tiles of residents, each of which meets all rows of the
 leaf, so that no task holds or compares an unbounded group. Tasks return a spanning forest of the
@@ -115,17 +116,33 @@ def medians(distinct: DataFrame, points: np.ndarray, masks: list[int]) -> np.nda
 
 def route(values: np.ndarray, points: np.ndarray, splits: np.ndarray, mask: int,
           radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, leaf, resident) of every visit of the values to the leaves of one tree."""
+    """(row, leaf, resident) of every visit of the values to the leaves of one tree.
+
+    With radius 0 the visits are the residents. With radius 1 a visit carries the bits whose change
+    leads down its path, and ends when none is left: a leaf is visited if and only if some value
+    within one bit lives there, so a tree of any depth has at most one visit per bit of its block,
+    and the resident's. Beyond, each split is judged by the triangle bound alone.
+    """
+    mask = np.uint64(mask)
     row = np.arange(len(values))
     leaf = np.zeros(len(values), dtype=np.int64)
     resident = np.ones(len(values), dtype=bool)
+    ways = np.full(len(values), mask)  # bits whose change keeps to the path, at radius 1
     for vantage, split in zip(points, splits):
-        d = _distances(values, vantage, mask).astype(np.int64)[row]
+        apart = (values[row] ^ vantage) & mask
+        d = np.bitwise_count(apart).astype(np.int64)
         inner = d <= split
         crosses = np.where(inner, d + radius > split, d - radius <= split)
-        row = np.concatenate([row, row[crosses]])
-        leaf = np.concatenate([2 * leaf + inner, (2 * leaf + ~inner)[crosses]])
-        resident = np.concatenate([resident, np.zeros(int(crosses.sum()), dtype=bool)])
+        stays = np.ones(len(row), dtype=bool)
+        across = ways
+        if radius == 1:
+            across = np.where(crosses, ways & np.where(inner, ~apart, apart), np.uint64(0))
+            ways = ways & ~across
+            crosses, stays = across != 0, resident | (ways != 0)
+        row = np.concatenate([row[stays], row[crosses]])
+        leaf = np.concatenate([(2 * leaf + inner)[stays], (2 * leaf + ~inner)[crosses]])
+        resident = np.concatenate([resident[stays], np.zeros(int(crosses.sum()), dtype=bool)])
+        ways = np.concatenate([ways[stays], across[crosses]])
     return row, leaf, resident
 
 
@@ -169,21 +186,22 @@ def near_links(distinct: DataFrame, max_bits: int = MAX_BITS, blocks: int = BLOC
     points = vantage_points(levels, blocks)
     splits = medians(distinct, points, masks) if levels else np.zeros((blocks, 0), dtype=np.int64)
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def routed(batches: Iterator[pd.DataFrame], within: int) -> Iterator[pd.DataFrame]:
         for batch in batches:
             values = batch["fp"].to_numpy(dtype=np.int64).view(np.uint64)
             for at in range(0, len(values), 2048):  # bounds the visits held at a time
                 part = values[at:at + 2048]
                 for tree in range(blocks):
                     row, leaf, resident = route(part, points[tree], splits[tree], masks[tree],
-                                                radius)
+                                                within)
                     yield pd.DataFrame({"leaf": leaf * blocks + tree,
                                         "fp": part[row].view(np.int64), "resident": resident})
 
-    visits = distinct.select("fp").mapInPandas(visit, "leaf long, fp long, resident boolean")
+    prints = distinct.select("fp")
+    visits = prints.mapInPandas(lambda batches: routed(batches, radius),
+                                "leaf long, fp long, resident boolean")
     residents = (
-        distinct.select("fp").mapInPandas(
-            lambda batches: (v[v["resident"]][["leaf"]] for v in visit(batches)), "leaf long")
+        prints.mapInPandas(lambda batches: (v[["leaf"]] for v in routed(batches, 0)), "leaf long")
         .groupBy("leaf").agg(F.count("*").alias("n"))
         .where(F.col("n") > tile_rows)
         .select("leaf", F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles"))

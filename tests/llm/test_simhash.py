@@ -84,6 +84,37 @@ def test_routes_hold_every_near_pair():
         assert all((int(j), homes[i]) in visits for j in near)
 
 
+@pytest.mark.parametrize("levels", [0, 1, 6, 24])
+def test_visits_are_the_leaves_within_one_bit(levels):
+    """Every leaf in which a value within one bit would live, once, and no other leaf."""
+    values = np.random.default_rng(levels).integers(0, 1 << 64, 200, dtype=np.uint64)
+    for tree, mask in enumerate(simhash.block_masks(3)):
+        points = simhash.vantage_points(levels, 3)[tree]
+        splits = np.full(levels, bin(mask).count("1") // 2)
+        flips = [1 << b for b in range(64) if mask >> b & 1]
+        around = np.array([[int(v) ^ f for f in (0, *flips)] for v in values], dtype=np.uint64)
+        _, homes, _ = simhash.route(around.reshape(-1), points, splits, mask, 0)
+        expected = {(i, leaf) for i, leaves in enumerate(homes.reshape(around.shape).tolist())
+                    for leaf in leaves}
+        row, leaf, resident = simhash.route(values, points, splits, mask, 1)
+        assert len(row) <= len(values) * (len(flips) + 1)
+        assert set(zip(row.tolist(), leaf.tolist())) == expected
+        home = dict(zip(row[resident].tolist(), leaf[resident].tolist()))
+        assert home == dict(enumerate(homes.reshape(around.shape)[:, 0].tolist()))
+
+
+@pytest.mark.parametrize("blocks", [1, 2, 5])
+def test_every_number_of_blocks_finds_every_pair(spark, blocks):
+    """Radius 4, 2 and 0 in a block."""
+    values = planted(np.random.default_rng(blocks), 150, 60, 4)
+    distinct = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    links = simhash.near_links(distinct, blocks=blocks, leaf_rows=16, tile_rows=64).collect()
+    found = {frozenset((r["a"], r["b"])) for r in links}
+    near = {frozenset((int(a), int(b))) for a in values.view(np.int64) for b in values.view(np.int64)
+            if a != b and int(a ^ b) % (1 << 64) and bin(int(a ^ b) % (1 << 64)).count("1") <= 4}
+    assert len(near) >= 60 and found == near
+
+
 def test_whole_corpus_against_all_pairs(spark, sf_medium):
     docs = spark.read.parquet(f"{sf_medium}/documents.parquet")
     rows = sorted(simhash.fingerprints_and_components(docs).collect())
