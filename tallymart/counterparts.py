@@ -924,6 +924,33 @@ def _sources(marts: dict[str, str], staging: dict[str, str]) -> dict[str, str]:
             FROM (SELECT {newest.format(batch=batch, age=hours[name])} AS newest FROM {source})"""
         for name, source in tables.items()
     ]
+    created = {
+        "distribution_centers": "SELECT first AS day FROM nation, clock",
+        "products": "SELECT first AS day FROM part, clock",
+        "users": "SELECT CAST(joined AS DATE) AS day FROM u",
+        "orders": "SELECT day FROM o",
+        "order_items": "SELECT day FROM l",
+        "inventory_items": "SELECT day FROM stocked",
+        "events": "SELECT CAST(ts AS DATE) AS day FROM events",
+    }
+    # A table is landed on the morning after the newest of its days, from the first load on.
+    landed = "CAST(greatest(max(day), any_value(first)) AS TIMESTAMP) + INTERVAL 30 HOUR"
+    skipped = with_ctes("", "o", "l", "u") + """,
+        stocked AS (SELECT CAST(placed - to_days(CAST(5 + order_id % 56 AS INT)) AS DATE) AS day
+                    FROM l),
+        clock AS (SELECT coalesce(max(day), DATE '2024-02-01') - 1 AS first, first + 3 AS last
+                  FROM stocked),
+        landings AS (""" + "\nUNION ALL\n".join(
+            f"SELECT '{name}' AS table_name, {landed} AS max_loaded_at "
+            f"FROM ({days}) CROSS JOIN clock WHERE day <= last" for name, days in created.items()
+        ) + """)
+        SELECT table_name, max_loaded_at,
+               CASE WHEN max_loaded_at IS NULL THEN 'error'
+                    WHEN CAST(last AS TIMESTAMP) + INTERVAL 30 HOUR - max_loaded_at
+                         > INTERVAL 48 HOUR THEN 'error'
+                    WHEN CAST(last AS TIMESTAMP) + INTERVAL 30 HOUR - max_loaded_at
+                         > INTERVAL 26 HOUR THEN 'warn' ELSE 'pass' END AS status
+        FROM landings CROSS JOIN clock"""
     parity = [
         f"""SELECT '{name}' AS table_name, raw_rows, staged_rows, raw_rows = staged_rows AS matches
             FROM (SELECT count(*) AS raw_rows FROM {source})
@@ -948,6 +975,7 @@ def _sources(marts: dict[str, str], staging: dict[str, str]) -> dict[str, str]:
             f"{batch} AS loaded_at FROM {source}"
             for name, source in tables.items()),
         "source_freshness": "\nUNION ALL\n".join(fresh),
+        "freshness_after_skipped_loads": skipped,
         "dq_row_parity": "\nUNION ALL\n".join(parity),
         "load_health": with_ctes(f"""
             SELECT concat('run-', day) AS run_id, {batch} + to_days(CAST(day AS INT)) AS loaded_at,

@@ -54,7 +54,7 @@ from tallymart.sources.landing import (
 )
 from tallymart.sources.testdata import TestTables
 from tallymart.specs import RAW_TABLES
-from tallymart.workspace import scratch_dir
+from tallymart.workspace import scratch_dir, side_by_side
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -192,6 +192,37 @@ def landed_by_age(spark: SparkSession, directory: str) -> DataFrame:
     return source_freshness(read_raw(spark, raw_dir), BATCH_TIME)
 
 
+def freshness_after_skipped_loads(spark: SparkSession, directory: str) -> DataFrame:
+    """Freshness after four daily loads, the last one two days after the newest unit came into stock.
+
+    The first load brings every table, the others those with a row created on the day before; what
+    has not changed is skipped and keeps its age. Every drop holds what was created until then.
+    """
+    tables = TestTables(spark, directory).with_written_lines("skipped_loads")
+    day = F.to_date(to_utc(F.col("created_at")))
+    dated = [name for name in RAW_TABLES if "created_at" in tables[name].columns]
+    newest = tables["inventory_items"].agg(F.max(day)).first()[0] or BATCH_TIME.date()
+    days = [newest + dt.timedelta(days=n) for n in (-1, 0, 1, 2)]
+    changes = dict(zip(dated, side_by_side(
+        tables[name].select(day.alias("day")).where(F.col("day").isin(days)).distinct().collect
+        for name in dated)))
+    raw_dir = scratch_dir(spark, "skipped_loads/raw")
+    for today in days:
+        changed = [name for name in dated if today in {r["day"] for r in changes[name]}]
+        drop = scratch_dir(spark, "skipped_loads/drop")
+        frames = {
+            name: tables[name].where(day <= F.lit(today)) if name in dated else tables[name]
+            for name in (RAW_TABLES if today == days[0] else changed)}
+        if frames:
+            write_csv_drop(frames, drop)
+            load_raw(spark, drop, raw_dir, _morning_after(today))
+    return source_freshness(read_raw(spark, raw_dir), _morning_after(days[-1]))
+
+
+def _morning_after(day: dt.date) -> dt.datetime:
+    return dt.datetime.combine(day + dt.timedelta(days=1), BATCH_TIME.time())
+
+
 def row_parity(spark: SparkSession, directory: str) -> DataFrame:
     """Rows of the landed tables against those of their staging views, which were written."""
     drop = _dropped(spark, directory, "row_parity", list(RAW_TABLES))
@@ -540,6 +571,7 @@ def registry() -> dict[str, Query]:
         "rule_finance_recon": _suite_rule("fct_revenue_recognition", "finance_recon"),
         **faulty_queries(),
         "source_freshness": landed_by_age,
+        "freshness_after_skipped_loads": freshness_after_skipped_loads,
         "quality_report": quality_report,
         "quality_report_json": quality_report_json,
         "marts_checked_while_written": upkeep.marts_checked_while_written(TEST_BANDS),

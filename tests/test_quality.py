@@ -20,6 +20,7 @@ from tallymart.quality.checks import (
 from tallymart.quality.freshness import source_freshness
 from tallymart.quality.mutation import Defect, detect_defects, inject, standard_defects
 from tallymart.plans.layers import MARTS, Layers
+from tallymart.plans.registry import freshness_after_skipped_loads
 from tallymart.governance.publish import audit, resolver
 from tallymart.sources.testdata import TestTables
 from tests.frames import day, staged_items, staged_orders, staged_products
@@ -146,6 +147,17 @@ def test_freshness_edges(spark):
                       "order_items": "error", "inventory_items": "error"}
 
 
+def test_ages_of_skipped_loads_follow_the_data(spark, sf_small, sf_medium):
+    """The same loads of other tables give other ages, among them every status."""
+    found = {}
+    for directory in (sf_small, sf_medium):
+        rows = freshness_after_skipped_loads(spark, directory).collect()
+        assert len(rows) == 7
+        found[directory] = {r.table_name: r.status for r in rows}
+    assert set(found[sf_medium].values()) == {"pass", "warn", "error"}
+    assert found[sf_small]["orders"] == "warn" and found[sf_medium]["orders"] == "pass"
+
+
 def test_every_standard_defect_is_caught(spark, sf_medium):
     from tallymart.plans.registry import TEST_BANDS
 
