@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tallymart.workspace import scratch_dir, write_and_read
 
+SALTS = 16  # shares of a node's links
+
 
 def local_forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(rows, root of each) that connect what the symmetric link matrix ``near`` connects."""
@@ -28,22 +30,32 @@ def local_forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         label = lower
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
-    """One contraction of links (node, below), node > below."""
-    if large:
-        both = links.unionByName(links.select(F.col("below").alias("node"),
-                                              F.col("node").alias("below")))
-    else:
-        both = links
-    smallest = both.groupBy("node").agg(F.least(F.min("below"), F.col("node")).alias("root"))
-    joined = both.join(smallest, "node")
-    if large:  # the larger neighbours move to the root
-        moved = joined.where(F.col("below") > F.col("node")).select(
-            F.col("below").alias("node"), F.col("root").alias("below"))
-    else:  # the smaller neighbours and the node itself move to the root
-        moved = joined.select(F.col("below").alias("node"), F.col("root").alias("below")).unionByName(
-            smallest.select("node", F.col("root").alias("below")))
-    return moved.where(F.col("node") != F.col("below")).distinct()
+def _large_star(links: DataFrame) -> DataFrame:
+    """The larger neighbours of every node move to its smallest neighbour or itself.
+
+    A node with very many larger neighbours is the usual case, the root of a large component. Its
+    links are dealt by a salt, and the root, one row per node that has larger neighbours, goes to
+    every salt.
+    """
+    lowest = links.groupBy("node").agg(F.min("below").alias("lowest"))
+    centres = links.select(F.col("below").alias("centre")).distinct()
+    roots = (
+        centres.join(lowest, F.col("centre") == F.col("node"), "left")
+        .select("centre", F.coalesce("lowest", "centre").alias("root"),
+                F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("to"))
+    )
+    dealt = links.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    met = (F.col("below") == F.col("centre")) & (F.col("salt") == F.col("to"))
+    return dealt.join(roots, met).select("node", F.col("root").alias("below")).distinct()
+
+
+def _small_star(links: DataFrame) -> DataFrame:
+    """The smaller neighbours of every node, and the node itself, move to the smallest of them."""
+    lowest = links.groupBy("node").agg(F.min("below").alias("root"))
+    moved = links.join(lowest, "node").select(F.col("below").alias("node"),
+                                              F.col("root").alias("below"))
+    moved = moved.where(F.col("node") != F.col("below"))
+    return moved.unionByName(lowest.withColumnRenamed("root", "below")).distinct()
 
 
 def components(links: DataFrame, name: str) -> DataFrame:
@@ -66,5 +78,5 @@ def components(links: DataFrame, name: str) -> DataFrame:
         if state == before or state[0] == 0:
             return current.select("node", F.col("below").alias("root"))
         before, number = state, number + 1
-        current = write_and_read(_star(_star(current, large=True), large=False),
+        current = write_and_read(_small_star(_large_star(current)),
                                  f"{folder}/round{number}")

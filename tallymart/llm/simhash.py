@@ -147,8 +147,10 @@ def route(values: np.ndarray, points: np.ndarray, splits: np.ndarray, mask: int,
 
 
 def forest_within(residents: np.ndarray, others: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Links that connect whatever the pairs (resident, resident or other) connect."""
-    nodes = np.concatenate([residents, others])
+    """Links that connect whatever the pairs (resident, resident or other) connect: from each
+    node to the smallest one, as signed numbers, that it is connected with."""
+    residents = np.sort(residents.view(np.int64)).view(np.uint64)
+    nodes = np.sort(np.concatenate([residents, others]).view(np.int64)).view(np.uint64)
     parent = np.arange(len(nodes))
 
     def roots(of: np.ndarray) -> np.ndarray:

@@ -1,6 +1,7 @@
 """Embedding near-dedup and exact top-k."""
 
 import itertools
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -9,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallymart.llm import bitslice, projections
-from tallymart.llm.links import components, local_forest
+from tallymart.llm.links import _large_star, components, local_forest
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -175,6 +176,33 @@ def test_components_of_chains_and_stars(spark):
     assert components(df.limit(0), "test").count() == 0
 
 
+@pytest.mark.parametrize("nodes, links", [(300, 200), (300, 1200), (60, 2000)])
+def test_components_of_random_links_with_a_hub(spark, nodes, links):
+    rng = np.random.default_rng(nodes + links)
+    pairs = rng.integers(0, nodes, (links, 2)).tolist() + [[nodes + 7, j] for j in range(0, nodes, 3)]
+    pairs += [[nodes + 8, nodes + 9 + j] for j in range(400)]
+    label = list(range(nodes + 409))
+    for a, b in pairs:
+        low, high = sorted((label[a], label[b]))
+        label = [low if x == high else x for x in label]
+    df = spark.createDataFrame([tuple(p) for p in pairs], "a long, b long")
+    roots = {r["node"]: r["root"] for r in components(df, "test").collect()}
+    assert roots == {i: x for i, x in enumerate(label) if i != x}
+
+
+def test_the_links_of_a_hub_are_dealt_to_many_tasks(spark):
+    links = spark.createDataFrame([(i, 0) for i in range(1, 5001)], "node long, below long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        starred = _large_star(links)
+        plan = starred._jdf.queryExecution().executedPlan().toString()
+        assert starred.count() == 5000 and starred.where("below = 0").count() == 5000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert re.search(r"hashpartitioning\(below#\d+L, salt#\d+", plan)
+
+
 def test_local_forest():
     near = np.zeros((6, 6), dtype=bool)
     for a, b in ((0, 5), (5, 3), (2, 4)):
