@@ -63,6 +63,28 @@ def test_a_filter_on_a_dimension_prunes_shards(spark, sf_medium):
         assert hit <= 14
 
 
+def test_the_whole_order_against_brute_force(spark, sf_small):
+    """Quantile cells, place on the curve, ties and cuts, over plain lists."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    rows = [(r["lang"], r["source"], 8 + len((r["text"] or "").encode()), r["doc_id"],
+             zlib.crc32((r["text"] or "").encode())) for r in docs.collect()]
+    n, cell = len(rows), [0] * len(rows)
+    for dimension in range(3):
+        ordered = sorted(r[dimension] for r in rows)
+        # Quantile i is the smallest value that i / 32 of the rows do not exceed.
+        edges = {ordered[-(-i * n // 32) - 1] for i in range(1, 32)}
+        step = 32 // (len(edges) + 1)
+        for i, r in enumerate(rows):
+            cell[i] = cell[i] * 32 + sum(r[dimension] >= e for e in edges) * step
+    place = {r["cell"]: r["h"] for r in hilbert.curve(spark, 3, 5).collect()}
+    ordered = sorted((place[c], r[4], r[3], r[2]) for c, r in zip(cell, rows))
+    cuts = [s * n // 24 for s in range(25)]
+    expected = {(doc, s, at - cuts[s]) for s in range(24)
+                for at, (_, _, doc, _) in enumerate(ordered[cuts[s]:cuts[s + 1]], cuts[s])}
+    found = {(r["doc_id"], r["shard"], r["slot"]) for r in hilbert.shard(docs).collect()}
+    assert len(rows) == len(found) and found == expected
+
+
 @pytest.mark.parametrize("prefix", ["common_crawl_", "https://www.example.org/feed/"])
 def test_sources_of_one_prefix_are_kept_apart(spark, monkeypatch, prefix):
     monkeypatch.setattr(hilbert, "RUN", 6)
