@@ -43,3 +43,13 @@ def test_skipped_loads_leave_no_drop_and_one_batch_of_a_table(spark, sf_small, s
     assert not list(scratch.rglob("*.csv"))
     batches = [p.name for p in scratch.glob("*/skipped_loads/raw/batches/*/*")]
     assert sorted(batches) == sorted(RAW_TABLES)
+
+
+@pytest.mark.parametrize("name", ["load_health"])
+def test_landing_queries_write_compressed_files(spark, sf_small, scratch, name):
+    assert registry.registry()[name](spark, sf_small).count() > 0
+    parts = [p.name for p in scratch.rglob("*.csv/**/part-*")]
+    assert parts and all(p.endswith(".csv.gz") for p in parts)
+    landed = [p.name for p in scratch.rglob("raw/batches/**/part-*")]
+    assert landed and all(p.endswith(".zstd.parquet") for p in landed)
+    assert list(scratch.rglob("lines/part-*"))  # joined once for both tables of lines
