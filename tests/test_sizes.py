@@ -10,6 +10,7 @@ from tallymart.sources import exchange, testdata
 from tallymart.sources.exchange import write_csv_drop
 from tallymart.sources.landing import read_csv
 from tallymart.specs import RAW_TABLES
+from tests.frames import empty_raw
 
 
 @pytest.fixture
@@ -53,3 +54,28 @@ def test_landing_queries_write_compressed_files(spark, sf_small, scratch, name):
     landed = [p.name for p in scratch.rglob("raw/batches/**/part-*")]
     assert landed and all(p.endswith(".zstd.parquet") for p in landed)
     assert list(scratch.rglob("lines/part-*"))  # joined once for both tables of lines
+
+
+def test_exported_layers_are_built_from_the_layer_before(spark, tmp_path, monkeypatch):
+    frames = {}
+
+    def export(tables, target):
+        frames.update(tables)
+        exchange.export_parquet(tables, target)
+
+    monkeypatch.setattr(layers, "export_parquet", export)
+    raw = empty_raw(spark)
+    orders = layers.Layers(raw).with_written_orders("test_export", whole=True)
+    assert orders.order_enriched.columns == layers.Layers(raw).order_enriched.columns
+    assert orders.fct_orders.columns == layers.Layers(raw).fct_orders.columns
+    names = layers.export_all(orders, str(tmp_path))
+    assert len(names) == len(set(names)) == len(frames) == 21
+
+    def read_from(frame):
+        return {tuple(Path(f).parts[-3:-1]) for f in frame.inputFiles()}
+
+    assert read_from(frames["staging/stg_inventory_items"]) == {("raw", "inventory_items")}
+    assert read_from(frames["intermediate/int_order_items_enriched"]) == {
+        ("staging", f"stg_{name}") for name in ("order_items", "orders", "products")}
+    assert read_from(frames["intermediate/int_orders_enriched"]) == read_from(
+        frames["marts/fct_orders"]) == {("test_export", "order_enriched")}
