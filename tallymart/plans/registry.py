@@ -188,10 +188,10 @@ def load_health_log(spark: SparkSession, directory: str) -> DataFrame:
 
 def landed_by_age(spark: SparkSession, directory: str) -> DataFrame:
     """Freshness of tables that were landed at different times."""
-    tables = TestTables(spark, directory)
+    tables = TestTables(spark, directory).with_written_lines("freshness")
     drop, raw_dir = scratch_dir(spark, "freshness/drop"), scratch_dir(spark, "freshness/raw")
     for name in RAW_TABLES:
-        write_csv_drop({name: tables[name]}, f"{drop}/{name}")
+        write_csv_drop({name: tables[name]}, f"{drop}/{name}", compressed=True)
         landed_at = BATCH_TIME - dt.timedelta(hours=LANDED_HOURS_AGO[name])
         load_raw(spark, f"{drop}/{name}", raw_dir, landed_at)
     return source_freshness(read_raw(spark, raw_dir), BATCH_TIME)

@@ -47,7 +47,7 @@ def test_skipped_loads_leave_no_drop_and_one_batch_of_a_table(spark, sf_small, s
 
 
 @pytest.mark.parametrize("name", [
-    "load_health", "dq_row_parity", "load_report", "raw_audit"])
+    "load_health", "dq_row_parity", "load_report", "raw_audit", "source_freshness"])
 def test_landing_queries_write_compressed_files(spark, sf_small, scratch, name):
     assert registry.registry()[name](spark, sf_small).count() > 0
     parts = [p.name for p in scratch.rglob("*.csv/**/part-*")]
