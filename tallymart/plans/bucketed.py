@@ -17,6 +17,13 @@ from tallymart.plans.layers import Layers
 KEYS = {"orders": "order_id", "order_items": "order_id", "users": "user_id"}
 ORDER_FACT_KEY = "user_id"
 BUCKETS = 64
+# One task reads one bucket, so their number follows the rows of the largest table.
+ROWS_PER_BUCKET = 500_000
+
+
+def buckets_for(rows: int, at_least: int = BUCKETS) -> int:
+    """Buckets of a table of so many rows; tables that are joined need the same number."""
+    return max(at_least, -(-rows // ROWS_PER_BUCKET))
 
 
 def write_bucketed(frame: DataFrame, table: str, key: str, buckets: int, path: str) -> DataFrame:

@@ -14,7 +14,7 @@ from tallymart.governance.access import without_pii
 from tallymart.governance.publish import GateClosed, publications, publish, read_run
 from tallymart.operators.staging import COLUMNS, STAGING
 from tallymart.plans import actives, refresh
-from tallymart.plans.bucketed import bucketed_layers
+from tallymart.plans.bucketed import bucketed_layers, buckets_for
 from tallymart.plans.layers import MARTS, Layers
 from tallymart.quality.checks import union_reports, write_checked
 from tallymart.quality.suites import Bands, value_suites
@@ -164,8 +164,10 @@ def active_customers_by_period(spark: SparkSession, directory: str) -> DataFrame
 
 def _bucketed(spark: SparkSession, directory: str) -> Layers:
     root = scratch_dir(spark, "bucketed")
-    return bucketed_layers(Layers(TestTables(spark, directory)),
-                           f"bucketed_{uuid.uuid4().hex}", root, BUCKETS)
+    tables = TestTables(spark, directory)
+    rows = max(tables.read(name).count() for name in ("lineitem", "orders", "customer"))
+    return bucketed_layers(Layers(tables), f"bucketed_{uuid.uuid4().hex}", root,
+                           buckets_for(rows, at_least=BUCKETS))
 
 
 def bucketed_orders(spark: SparkSession, directory: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pathlib import Path
 import pytest
 
 from tallymart.plans import layers, registry, upkeep
+from tallymart.plans.bucketed import ROWS_PER_BUCKET, buckets_for
 from tallymart.sources import exchange, testdata
 from tallymart.sources.exchange import write_csv_drop
 from tallymart.sources.landing import read_csv
@@ -80,3 +81,26 @@ def test_exported_layers_are_built_from_the_layer_before(spark, tmp_path, monkey
         ("staging", f"stg_{name}") for name in ("order_items", "orders", "products")}
     assert read_from(frames["intermediate/int_orders_enriched"]) == read_from(
         frames["marts/fct_orders"]) == {("test_export", "order_enriched")}
+
+
+def test_buckets_follow_the_rows():
+    assert buckets_for(0, at_least=8) == buckets_for(8 * ROWS_PER_BUCKET, at_least=8) == 8
+    assert buckets_for(8 * ROWS_PER_BUCKET + 1, at_least=8) == 9
+    for rows in (10**7, 10**9):
+        assert rows / buckets_for(rows, at_least=8) <= ROWS_PER_BUCKET
+
+
+@pytest.mark.parametrize("name", ["bucketed_customers"])
+def test_bucketed_queries_size_their_buckets(spark, sf_small, scratch, monkeypatch, name):
+    monkeypatch.setattr("tallymart.plans.bucketed.ROWS_PER_BUCKET", 500)
+    lines = spark.read.parquet(f"{sf_small}/lineitem.parquet").count()
+    used = []
+
+    def bucketed_layers(layers, database, root, buckets):
+        used.append(buckets)
+        return build(layers, database, root, buckets)
+
+    build = upkeep.bucketed_layers
+    monkeypatch.setattr(upkeep, "bucketed_layers", bucketed_layers)
+    assert registry.registry()[name](spark, sf_small).count() > 0
+    assert used == [-(-lines // 500)] and used[0] > upkeep.BUCKETS
