@@ -90,7 +90,7 @@ def test_buckets_follow_the_rows():
         assert rows / buckets_for(rows, at_least=8) <= ROWS_PER_BUCKET
 
 
-@pytest.mark.parametrize("name", ["bucketed_customers"])
+@pytest.mark.parametrize("name", ["bucketed_customers", "bucketed_orders"])
 def test_bucketed_queries_size_their_buckets(spark, sf_small, scratch, monkeypatch, name):
     monkeypatch.setattr("tallymart.plans.bucketed.ROWS_PER_BUCKET", 500)
     lines = spark.read.parquet(f"{sf_small}/lineitem.parquet").count()
