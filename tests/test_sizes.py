@@ -3,6 +3,7 @@
 import uuid
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from tallymart.plans import layers, registry, upkeep
@@ -104,3 +105,14 @@ def test_bucketed_queries_size_their_buckets(spark, sf_small, scratch, monkeypat
     monkeypatch.setattr(upkeep, "bucketed_layers", bucketed_layers)
     assert registry.registry()[name](spark, sf_small).count() > 0
     assert used == [-(-lines // 500)] and used[0] > upkeep.BUCKETS
+
+
+def test_a_task_reads_a_bounded_number_of_lines(spark, sf_small, scratch, monkeypatch):
+    monkeypatch.setattr("tallymart.plans.bucketed.ROWS_PER_BUCKET", 200)
+    queries = registry.registry()
+    plain, dealt = (sorted(map(str, queries[name](spark, sf_small).collect()))
+                    for name in ("int_orders_enriched", "bucketed_orders"))
+    assert dealt == plain and plain
+    for table in ("stg_order_items", "stg_orders", "stg_users", "fct_orders"):
+        rows = [pq.read_metadata(f).num_rows for f in scratch.rglob(f"{table}/part-*.parquet")]
+        assert rows and max(rows) < 500, (table, rows)
