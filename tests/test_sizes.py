@@ -48,6 +48,34 @@ def test_skipped_loads_leave_no_drop_and_one_batch_of_a_table(spark, sf_small, s
     assert sorted(batches) == sorted(RAW_TABLES)
 
 
+def test_skipped_loads_count_the_lines_of_the_headers_once(spark, sf_small, scratch):
+    registry.freshness_after_skipped_loads(spark, sf_small)
+    written = spark.read.parquet(*map(str, scratch.glob("*/skipped_loads/orders")))
+    expected = testdata.TestTables(spark, sf_small)["orders"]
+    assert sorted(map(tuple, written.collect())) == sorted(map(tuple, expected.collect()))
+
+
+def test_naive_times_are_dropped_as_they_are_cast_to_text(spark, tmp_path):
+    texts = ["1994-01-02 03:04:05", "2024-02-29 23:59:59.000001", "0044-03-15 00:00:00.5", None]
+    stamps = spark.createDataFrame([(t,) for t in texts], "t string").selectExpr(
+        "cast(t AS timestamp_ntz) AS t", "1 AS n").coalesce(1)
+    write_csv_drop({"stamps": stamps}, str(tmp_path), compressed=True)
+    folder = f"{tmp_path}/stamps.csv"
+    assert [r.t for r in spark.read.csv(folder, header=True).collect()] == texts
+    again = read_csv(spark, folder, "t timestamp_ntz, n int")
+    assert [r.t for r in again.selectExpr("cast(t AS string) AS t").collect()] == texts
+
+
+def test_keys_are_written_without_a_dictionary(spark, tmp_path):
+    keys = spark.range(1000, numPartitions=1).selectExpr("id % 7 AS k", "cast(id % 7 AS string) AS s")
+    exchange.export_parquet({"keys": keys}, str(tmp_path))
+    part, = tmp_path.glob("keys/part-*.parquet")
+    group = pq.read_metadata(part).row_group(0)
+    found = {group.column(i).path_in_schema: set(group.column(i).encodings) for i in range(2)}
+    assert "DELTA_BINARY_PACKED" in found["k"] and "RLE_DICTIONARY" not in found["k"]
+    assert "RLE_DICTIONARY" in found["s"]
+
+
 @pytest.mark.parametrize("name", [
     "load_health", "dq_row_parity", "load_report", "raw_audit", "source_freshness"])
 def test_landing_queries_write_compressed_files(spark, sf_small, scratch, name):
