@@ -76,6 +76,28 @@ def test_keys_are_written_without_a_dictionary(spark, tmp_path):
     assert "RLE_DICTIONARY" in found["s"]
 
 
+def test_the_export_leaves_nothing_beside_it(spark, sf_small, scratch):
+    assert registry.export_warehouse(spark, sf_small).count() == 21
+    assert {p.parent.name for p in scratch.glob("*/export_warehouse/*")} == {"export_warehouse"}
+    assert {p.name for p in scratch.glob("*/export_warehouse/*")} == {"out"}
+
+
+def test_lines_are_exported_in_slices(spark, sf_small, scratch, monkeypatch):
+    whole = sorted(map(tuple, registry.export_warehouse(spark, sf_small).collect()))
+    plain, = scratch.glob("*/export_warehouse/out")
+    steps = []
+    monkeypatch.setattr(layers, "ROWS_PER_SLICE", 2_000)
+    monkeypatch.setattr(layers, "export_parquet", lambda frames, target, mode="overwrite": (
+        steps.append((sorted(frames), mode)), exchange.export_parquet(frames, target, mode)))
+    sliced = sorted(map(tuple, registry.export_warehouse(spark, sf_small).collect()))
+    assert sliced == whole
+    name = "intermediate/int_order_items_enriched"
+    assert [mode for frames, mode in steps if name in frames] == ["overwrite", "append", "append"]
+    other, = set(scratch.glob("*/export_warehouse/out")) - {plain}
+    rows = [sorted(map(str, spark.read.parquet(f"{out}/{name}").collect())) for out in (plain, other)]
+    assert rows[0] == rows[1] and rows[0]
+
+
 @pytest.mark.parametrize("name", [
     "load_health", "dq_row_parity", "load_report", "raw_audit", "source_freshness"])
 def test_landing_queries_write_compressed_files(spark, sf_small, scratch, name):
